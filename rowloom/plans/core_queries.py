@@ -5,11 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rowloom.operators.quantities import normalise_pay
+from rowloom.operators.timestamps import TARGET_FORM, normalise_timestamps
+from rowloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
+
+
+@query("p3_timestamps")
+def p3_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every written timestamp with its UTC form, its status and the posterior of the reading."""
+    sources = table(spark, sf_dir, "sources")
+    parts = []
+    for tbl, fields in (("jobs", ["publication_date", "update_date"]), ("degrees", ["scraped_at"])):
+        rows = normalise_timestamps(table(spark, sf_dir, tbl), ["row_id"], fields, "source", sources)
+        parts.append(rows.select(F.lit(tbl).alias("tbl"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+@query("p3_found")
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = p3_timestamps(spark, sf_dir).where(~F.col("raw").rlike(TARGET_FORM))
+    return rows.select("tbl", "row_id", "field", "utc_ts")
+
+
+@query("p4_found")
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs, units, sources = (table(spark, sf_dir, t) for t in ("jobs", "salary_units", "sources"))
+    return normalise_pay(jobs, "row_id", units, sources)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
