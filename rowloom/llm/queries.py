@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowloom.llm.canonical import map_to_canonical
 from rowloom.llm.topn import top_n_per_group
 from rowloom.session import table
 
@@ -23,6 +24,27 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: The fields of problem 1 and the kind of entry each of them names.
+PLACE_FIELDS = {
+    "municipality_raw": "municipality",
+    "province_raw": "province",
+    "contract_type_raw": "contract_type",
+    "raw_location": "municipality",
+}
+
+
+@query("p1_canonical")
+def p1_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of the four fields that is not canonical, its entry and its similarity."""
+    jobs, canon = table(spark, sf_dir, "jobs"), table(spark, sf_dir, "canonical_values")
+    return map_to_canonical(jobs, "row_id", PLACE_FIELDS, canon)
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_canonical(spark, sf_dir).select("row_id", "field", "canon_id")
+
+
 @query(
     "p5_found",
     """
