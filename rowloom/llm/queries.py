@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowloom.llm.canonical import map_to_canonical
+from rowloom.llm.residue import find_residue
 from rowloom.llm.topn import top_n_per_group
 from rowloom.session import table
 
@@ -45,6 +47,23 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_canonical(spark, sf_dir).select("row_id", "field", "canon_id")
 
 
+@query("p2_residue")
+def p2_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value that holds no content, with the evidence that speaks against it."""
+    jobs, degrees = table(spark, sf_dir, "jobs"), table(spark, sf_dir, "degrees")
+    found = [
+        find_residue(jobs, "row_id", ["title", "description"], "title", "source_url"),
+        find_residue(degrees, "row_id", ["description"], "title", "source_url"),
+    ]
+    named = [x.select(F.lit(t).alias("tbl"), "*") for t, x in zip(("jobs", "degrees"), found, strict=True)]
+    return named[0].unionByName(named[1])
+
+
+@query("p2_found")
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_residue(spark, sf_dir).select("tbl", "row_id", "field")
+
+
 @query(
     "p5_found",
     """
