@@ -13,17 +13,18 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.text import repair_encoding, strip_accents
 from rowloom.operators.joins import is_small
+from rowloom.session import cut_lineage
 
 # Abbreviations, little words and words that name only the kind of the value.
 ABBREVIATIONS = {
     "pto": "puerto", "vlle": "valle", "v": "villa", "bco": "barranco", "sta": "santa", "sto": "santo", "s": "san",
     "ntra": "nuestra", "sra": "senora", "gral": "general",
 }
-LITTLE_WORDS = "de|del|dela|dla|dl|d|la|las|el|los|lo|y|of|the"
+LITTLE_WORDS = ["", "de", "del", "dela", "dla", "dl", "d", "la", "las", "el", "los", "lo", "y", "of", "the"]
 KIND_WORDS = {
-    "municipality": "ayto|ayuntamiento|termino|municipal|municipio|tm|localidad|ciudad",
-    "province": "provincia|prov|province",
-    "contract_type": "contrato|contract|tipo|laboral",
+    "municipality": ["ayto", "ayuntamiento", "termino", "municipal", "municipio", "tm", "localidad", "ciudad"],
+    "province": ["provincia", "prov", "province"],
+    "contract_type": ["contrato", "contract", "tipo", "laboral"],
 }
 #: Segments of a place that are an address line.
 STREET = r"^(?:c|calle|avda|av|avenida|plaza|pza|poligono|pol|ctra|carretera|camino|nave|local|planta|no)\b"
@@ -33,15 +34,14 @@ THRESHOLD = 0.5
 
 def normal_words(text: Column, kind: Column, drop_kind_words: bool = True) -> Column:
     """Lower case words without accents, digits, little words and words of the kind, joined by blanks."""
-    t = F.regexp_replace(text, r"[^a-z]+", " ")
-    t = F.regexp_replace(t, r"\bt m\b", "tm")
-    for short, full in ABBREVIATIONS.items():
-        t = F.regexp_replace(t, rf"\b{short}\b", full)
-    t = F.regexp_replace(t, rf"\b(?:{LITTLE_WORDS})\b", " ")
-    out = t
-    for name, words in KIND_WORDS.items() if drop_kind_words else ():
-        out = F.when(kind == name, F.regexp_replace(t, rf"\b(?:{words})\b", " ")).otherwise(out)
-    return F.trim(F.regexp_replace(out, r" +", " "))
+    words = F.split(F.regexp_replace(F.regexp_replace(text, r"[^a-z]+", " "), r"\bt m\b", "tm"), " ")
+    full = F.create_map(*[F.lit(x) for pair in ABBREVIATIONS.items() for x in pair])
+    words = F.transform(words, lambda w: F.coalesce(F.element_at(full, w), w))
+    words = F.filter(words, lambda w: ~w.isin(LITTLE_WORDS))
+    if drop_kind_words:
+        named = F.create_map(*[x for k, ws in KIND_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, ws)))])
+        words = F.array_except(words, F.coalesce(F.element_at(named, kind), F.array().cast("array<string>")))
+    return F.array_join(words, " ")
 
 
 def plain(text: Column) -> Column:
@@ -133,10 +133,11 @@ def similarity_join(texts: DataFrame, entries: DataFrame, threshold: float = THR
     The size of neither side is bounded by the method: a small list of entries is broadcast,
     a larger one is joined by shuffle on (kind, token).
     """
-    both = texts.select("kind", "text").unionByName(entries.select("kind", "text")).distinct()
-    rarity = token_rows(both).groupBy("token").agg(F.count("*").alias("df"))
-    left = ordered_sets(texts.select("kind", "text").distinct(), rarity)
-    forms = ordered_sets(entries.select("kind", "text").distinct(), rarity)
+    texts, entries = cut_lineage(texts.select("kind", "text").distinct()), cut_lineage(entries)
+    both = texts.unionByName(entries.select("kind", "text")).distinct()
+    rarity = cut_lineage(token_rows(both).groupBy("token").agg(F.count("*").alias("df")))
+    left = ordered_sets(texts, rarity)
+    forms = cut_lineage(ordered_sets(entries.select("kind", "text").distinct(), rarity))
 
     def prefixes(sets: DataFrame, as_: str) -> DataFrame:
         size = F.size("tokens")
@@ -182,39 +183,34 @@ def reference_forms(canon: DataFrame) -> DataFrame:
     return rows.distinct()
 
 
-def map_values(values: DataFrame, canon: DataFrame) -> DataFrame:
-    """Rows ``(kind, value, canon_id, sim)``, one per distinct non-null ``(kind, value)``.
+def best_entries(values: DataFrame, canon: DataFrame) -> DataFrame:
+    """Rows ``(kind, value, canon_id, sim)`` of the distinct values that some entry is similar to.
 
     A place takes the most similar entry over its segments; a contract type the entry named
     first, and of entries that start at one word the one that covers more letters.  Ties go
-    to the smaller id.  ``canon_id`` is 0 and ``sim`` null where no entry is similar enough;
-    empty text, blanks and signs are such values.
+    to the smaller id.  A segment that is rather an island or a province is no municipality.
     """
     wanted = values.select("kind", "value").where(F.col("value").isNotNull()).distinct()
-    parts = spans(segments(wanted))
+    parts = cut_lineage(spans(segments(wanted)))
     texts = parts.select("kind", F.col("span").alias("text")).distinct()
     found = similarity_join(texts, reference_forms(canon)).withColumnRenamed("text", "span")
     hits = parts.join(found, ["kind", "span"])
     first = F.when(F.col("kind") == "contract_type", -(F.col("seg") * 1000 + F.col("start"))).otherwise(F.lit(0))
     covers = F.when(F.col("kind") == "contract_type", F.col("sim") * F.length("span")).otherwise(F.col("sim"))
     rank = F.struct(first.alias("first"), covers.alias("covers"), (-F.col("canon_id")).alias("id"), "sim")
-    # A segment that is rather an island or a province is no municipality.
-    per_segment = hits.groupBy("kind", "value", "seg").agg(F.max(rank).alias("b"))
-    per_segment = per_segment.where(F.col("b.id") < 0)
+    per_segment = hits.groupBy("kind", "value", "seg").agg(F.max(rank).alias("b")).where(F.col("b.id") < 0)
     best = per_segment.groupBy("kind", "value").agg(F.max("b").alias("b"))
-    best = best.select("kind", "value", (-F.col("b.id")).alias("canon_id"), F.col("b.sim").alias("sim"))
-    return wanted.join(best, ["kind", "value"], "left").select(
-        "kind", "value", F.coalesce("canon_id", F.lit(0)).cast("bigint").alias("canon_id"), "sim"
-    )
+    return best.select("kind", "value", (-F.col("b.id")).alias("canon_id"), F.col("b.sim").alias("sim"))
 
 
 def map_to_canonical(df: DataFrame, id_col: str, fields: dict[str, str], canon: DataFrame) -> DataFrame:
     """Rows ``(id, field, value, canon_id, sim)`` for every non-null value of ``fields``
     (column name to kind) that is not already, byte for byte, a canonical value of its kind.
 
-    Values are matched once per distinct value, so the cost of matching does not grow with
-    repetition.  Null values give no row; an empty table gives an empty result; repeated
-    rows are kept; other columns of ``df`` are not read.
+    ``canon_id`` is 0 and ``sim`` null where no entry is similar enough; empty text, blanks
+    and signs are such values.  Values are matched once per distinct value, so the cost of
+    matching does not grow with repetition.  Null values give no row; an empty table gives an
+    empty result; repeated rows are kept; other columns of ``df`` are not read.
     """
     cells = F.explode(
         F.array(*[
@@ -227,5 +223,6 @@ def map_to_canonical(df: DataFrame, id_col: str, fields: dict[str, str], canon:
     exact = canon.select("kind", F.col("canon_value").alias("value")).distinct()
     exact = F.broadcast(exact) if is_small(exact) else exact
     rows = rows.join(exact, ["kind", "value"], "left_anti")
-    mapped = map_values(rows, canon)
-    return rows.join(mapped, ["kind", "value"]).select(F.col("__id").alias(id_col), "field", "value", "canon_id", "sim")
+    mapped = rows.join(best_entries(rows, canon), ["kind", "value"], "left")
+    entry = F.coalesce("canon_id", F.lit(0)).cast("bigint").alias("canon_id")
+    return mapped.select(F.col("__id").alias(id_col), "field", "value", entry, "sim")
