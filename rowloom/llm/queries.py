@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm.canonical import map_to_canonical
+from rowloom.llm.cut import CutModel, cut_rows, fit_cut_model, score_cuts, source_shares
+from rowloom.llm.fuse import Bundle, Dependency, fuse_groups
+from rowloom.llm.leak import find_leaks
 from rowloom.llm.residue import find_residue
 from rowloom.llm.topn import top_n_per_group
-from rowloom.session import table
+from rowloom.operators.quantities import states_amount
+from rowloom.session import cut_lineage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,6 +101,105 @@ def p5_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n_per_group(pairs, "job_key", "degree_key", "score", 5)
 
 
+#: Tables with descriptions, and the score from which a description counts as cut.
+DESCRIBED = ("jobs", "degrees")
+CUT = 0.5
+
+
+def cut_model(spark: SparkSession, sf_dir: str) -> CutModel:
+    rows = [cut_rows(table(spark, sf_dir, t), "row_id", "description", "source") for t in DESCRIBED]
+    return fit_cut_model(rows[0].unionByName(rows[1]))
+
+
+def scored_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = cut_model(spark, sf_dir)
+    parts = [
+        score_cuts(table(spark, sf_dir, t), "row_id", "description", "source", model).select(F.lit(t).alias("tbl"), "*")
+        for t in DESCRIBED
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def cut_descriptions(spark: SparkSession, sf_dir: str, scored: DataFrame) -> DataFrame:
+    """Cut descriptions that hold content; residue is a case of its own."""
+    residue = p2_found(spark, sf_dir).where("field = 'description'").select("tbl", "row_id")
+    return scored.where(F.col("score") >= CUT).join(residue, ["tbl", "row_id"], "left_anti")
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_descriptions(spark, sf_dir, scored_descriptions(spark, sf_dir)).select("tbl", "row_id")
+
+
+@query("p6_sources")
+def p6_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source truncates."""
+    scored = cut_lineage(scored_descriptions(spark, sf_dir))
+    return source_shares(scored, cut_descriptions(spark, sf_dir, scored), ["tbl", "row_id"])
+
+
+def survivor_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Bundle]]:
+    """Jobs with what the bundles need to know of them, and the bundles."""
+    jobs = table(spark, sf_dir, "jobs")
+    residue = find_residue(jobs, "row_id", ["description"], "title", "source_url").select("row_id")
+    cut = score_cuts(jobs, "row_id", "description", "source", cut_model(spark, sf_dir)).where(F.col("score") >= CUT)
+    bad = residue.unionByName(cut.select("row_id")).distinct().withColumn("__bad", F.lit(True))
+    rows = jobs.select(
+        "row_id", "job_key", "island_raw", "province_raw", "municipality_raw", "raw_location", "payload_hash", "salary_text",
+        F.length("description").alias("__len"), F.unix_micros(F.col("last_seen_at").try_cast("timestamp")).alias("__seen"),
+    )
+    rows = states_amount(rows, "salary_text", "__pays").join(bad, "row_id", "left")
+    seen, first = F.coalesce("__seen", F.lit(0)), -F.col("row_id")
+    described = F.col("__len").isNotNull() & F.col("__bad").isNull()
+    bundles = [
+        Bundle("survivor", F.lit(True), [seen, first]),
+        Bundle("description", described, [F.col("__len"), seen, first]),
+        Bundle("salary", F.col("__pays"), [seen, first]),
+    ]
+    return rows, bundles
+
+
+@query("p7_found")
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, bundles = survivor_rows(spark, sf_dir)
+    found = fuse_groups(rows, "job_key", "row_id", bundles)
+    named = {f"{b.name}_id": f"{b.name}_row_id" for b in bundles}
+    return found.withColumnsRenamed(named)
+
+
+@query("p7_survivors")
+def p7_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source rows of each survivor's bundles, places included: the island of the place
+    determines the province."""
+    rows, bundles = survivor_rows(spark, sf_dir)
+    seen, first = F.coalesce("__seen", F.lit(0)), -F.col("row_id")
+    parts = sum(F.col(c).isNotNull().cast("int") for c in ("municipality_raw", "island_raw", "raw_location"))
+    island, province = F.lower(F.trim("island_raw")), F.lower(F.trim("province_raw"))
+    bundles += [
+        Bundle("place", parts > 0, [parts, seen, first], {"island": island}),
+        Bundle("province", F.col("province_raw").isNotNull(), [F.lit(1), seen, first], {"province": province}),
+    ]
+    return fuse_groups(rows, "job_key", "row_id", bundles, [Dependency("island", "province")])
+
+
+@query("p9_leaks")
+def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and leaked item with the repeated words and the exact containment."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+@query("p9_found")
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+@query("p9_items")
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which test items leaked, and into how many documents."""
+    leaks = p9_leaks(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("n_words").alias("most_words"))
+    return table(spark, sf_dir, "eval_items").select("item_id", "benchmark").join(leaks, "item_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
