@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.text import strip_accents
 from rowloom.operators.joins import is_small
+from rowloom.session import cut_lineage
 
 # Placeholder syntaxes of common template languages.
 PLACEHOLDERS = [
@@ -22,44 +23,50 @@ PLACEHOLDERS = [
     r"<(?!/?(?:b|i|u|p|br|em|strong|ul|ol|li|h[1-6]|div|span|a|td|tr|th|table|img|hr)\b)[\p{L}_][\p{L}\d_. -]*>",
     r"\[(?i:insertar|insert|inserte|t[íi]tulo|rellenar|completar|pendiente|your|su|tu|nombre)\b[^\[\]]*\]",
     r"\[[\p{Ll}_]+(?:\.[\p{Ll}_]+)*\]", r"\[[\p{Lu}_]{4,}(?:\.[\p{Lu}_]+)*\]", r"\[object Object\]", r"\?\?\?",
-    r"\{\d*\}", r"(?<![\p{L}\d])%[sd](?![\p{L}\d])", r"_{4,}", r"\[\.\.\.[\p{L} ]+\.\.\.\]", r"(?<![\p{L}\d])undefined(?![\p{L}\d])",
+    r"\{\d*\}", r"(?<![\p{L}\d])%[sd](?![\p{L}\d])", r"_{4,}", r"\[\.\.\.[\p{L} ]+\.\.\.\]",
 ]
-
-# Wording of filler and test text; texts are lower case without accents.
+#: No placeholder begins with another sign, so most positions are passed over at once.
+SIGNS = r"(?=[{<\[%$#@_?])"
 #: A note to the author; in text that is all upper case it is the ordinary Spanish word.
-TODO = r"(?:^|[\p{Ll}:,(] )TODO(?:$|[ .:,;)](?!\p{Lu}{2}))"
+TODO = r"(?:^|[\p{Ll}:,(] )(?:TODO(?:$|[ .:,;)](?!\p{Lu}{2}))|undefined(?![\p{L}\d]))"
+
+# Wording of filler and test text; texts are lower case.
 _MASH = "asdf|qwerty|xxx|bla|abc|test|prueba|foo|bar"
 _LOREM = (
     "lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|do|eiusmod|tempor|incididunt|ut|labore|et|dolore"
     "|magna|aliqua|enim|ad|minim|veniam|quis|nostrud|ullamco|laboris|nisi|aliquip|ex|ea|commodo"
 )
 FILLER = [
-    r"lorem ipsum", rf"(?:(?:{_LOREM})\b[ ,.]*){{5}}", rf"(?:{_MASH})\b(?:[ ,.]+(?:{_MASH})\b)+", r"(?:asdf|qwerty)\b",
-    r"(?:texto|contenido|descripcion|titulo) (?:de (?:prueba|ejemplo|relleno)|provisional|pendiente)",
+    r"lorem ipsum", rf"(?:(?:{_LOREM})\b[ ,.]*){{5}}", rf"(?:{_MASH})\b(?:[ ,.]+(?:{_MASH})\b)+", r"asdf\b", r"qwerty\b",
+    r"(?:texto|contenido|descripci[oó]n|t[ií]tulo) (?:de (?:prueba|ejemplo|relleno)|provisional|pendiente)",
     r"borrador sin ", r"your text here", r"(?:sample|dummy|placeholder) (?:description|text|title|content)",
-    r"insert [a-z ]{1,40}here", r"aqui va (?:la|el|una?) ", r"escrib[ae] (?:aqui|en este espacio|el titulo|la descripcion|su texto)",
-    r"titulo (?:del puesto |de la oferta )?aqui\b", r"untitled(?: document)?\b", r"nueva oferta \(plantilla\)",
-    r"no publicar\b", r"sin titulo\b", r"document1?\b$",
+    r"insert [a-z ]{1,40}here", r"aqu[ií] va (?:la|el|una?) ",
+    r"escrib[ae] (?:aqu[ií]|en este espacio|el t[ií]tulo|la descripci|su texto)",
+    r"t[ií]tulo (?:del puesto |de la oferta )?aqu[ií]", r"untitled(?: document)?\b", r"nueva oferta \(plantilla\)",
+    r"no publicar\b", r"sin t[ií]tulo\b",
 ]
 
 # Wording of errors of sites and programs.
 ERRORS = [
-    r"http(?:/[\d.]+)? [45]\d\d\b", r"error [45]\d\d\b ?[-:–(]", r"[45]\d\d (?:not found|forbidden|unauthorized|bad gateway|service|internal|gone|too many|gateway|pagina|error|acceso|demasiad|servicio|la oferta)",
-    r"\((?:4\d\d|50\d)\)\. ", r"h1>[45]\d\d</h1", r"pagina no encontrada", r"page not found", r"not found \(",
+    r"http(?:/[\d.]+)? [45]\d\d\b", r"error [45]\d\d\b ?[-:–(]",
+    r"[45]\d\d (?:not found|forbidden|unauthorized|bad gateway|service|internal|gone|too many|gateway|p[aá]gina|error|acceso|demasiad|servicio|la oferta)",
+    r"(?:4\d\d|50\d)\)\. ", r"h1>[45]\d\d</h1", r"p[aá]gina no encontrada", r"page not found", r"not found \(",
     r"error interno del servidor", r"internal server error", r"bad gateway", r"service unavailable", r"gateway time-?out",
     r"acceso denegado", r"access denied", r"demasiadas peticiones", r"too many requests",
-    r"servicio no disponible", r"(?:oferta|pagina) ya no esta disponible en esta direccion", r"pagina que (?:buscas?|busca usted) ",
+    r"servicio no disponible", r"oferta ya no est[aá] disponible en esta direcci", r"p[aá]gina que (?:buscas?|busca usted) ",
     r"something went wrong", r"algo ha salido mal", r"requested (?:resource|url|page) (?:could|was) not",
-    r"sitio en mantenimiento", r"site (?:is )?under maintenance", r"s(?:u|esion|u sesion) (?:ha )?caducad[oa]", r"sesion caducada", r"session (?:has )?expired",
-    r"identificarse para ver", r"si el problema continua", r"intentelo mas tarde", r"try again in a few minutes",
-    r"traceback \(most recent", r"fatal error: ", r"uncaught (?:type|reference|range)?error", r"(?:java|javax|org|com)\.[\w.]+(?:exception|error)\b", r"nullpointerexception",
+    r"sitio en mantenimiento", r"site (?:is )?under maintenance", r"sesi[oó]n (?:ha )?caducad", r"session (?:has )?expired",
+    r"identificarse para ver", r"si el problema contin[uú]a", r"int[eé]ntelo m[aá]s tarde", r"try again in a few minutes",
+    r"traceback \(most recent", r"fatal error: ", r"uncaught (?:type|reference|range)?error",
+    r"(?:java|javax|org|com)\.[\w.]+(?:exception|error)\b", r"nullpointerexception",
     r"sqlstate\[", r"undefined (?:index|variable|offset|property|function)", r"stack trace:", r"unhandled exception", r"keyerror: ",
 ]
 
 # Wording of notices that ask for scripts, cookies or a human check.
 NOTICES = [
-    r"activ[ae] (?:el )?javascript", r"enable javascript", r"habilit[ae] (?:los scripts|javascript)", r"ejecucion de scripts",
-    r"allow scripts", r"scripts switched on", r"turn on (?:scripting|javascript|cookies)", r"secuencias de comandos", r"navegador con javascript", r"javascript (?:is )?(?:disabled|required|desactivado)",
+    r"activ[ae] (?:el )?javascript", r"enable javascript", r"habilit[ae] (?:los scripts|javascript)", r"ejecuci[oó]n de scripts",
+    r"allow scripts", r"scripts switched on", r"turn on (?:scripting|javascript|cookies)", r"secuencias de comandos",
+    r"navegador con javascript", r"javascript (?:is )?(?:disabled|required|desactivado)",
     r"usamos cookies", r"utilizamos cookies", r"acept[ae] (?:las |todas las )?cookies", r"we use cookies", r"accept (?:all )?cookies",
     r"aceptar todo ?[·|-] ?rechazar", r"configure su consentimiento", r"no eres un robot", r"not a robot", r"verifi(?:ca|que) que (?:eres|es) ",
     r"verify (?:that )?you are (?:a )?human", r"checking your browser", r"just a moment", r"un momento, por favor",
@@ -73,17 +80,28 @@ SHORT = 240
 TITLES = 3
 
 
-def _any(patterns: list[str]) -> str:
-    return r"(?<![\p{L}\d])(?:" + "|".join(patterns) + ")"
+def any_of(patterns: list[str]) -> str:
+    """One pattern for many, grouped by first letter, so a word is compared with few of them."""
+    letters: dict[str, list[str]] = {}
+    others: list[str] = []
+    for p in patterns:
+        if p[0].isalpha():
+            letters.setdefault(p[0], []).append(p[1:])
+        else:
+            others.append(p)
+    groups = [f"{c}(?:{'|'.join(rest)})" for c, rest in letters.items()]
+    return r"\b(?:" + "|".join(groups + others) + ")"
 
 
-def detectors(value: Column, plain: Column) -> Column:
+def detectors(value: Column, low: Column) -> Column:
     """The name of the first detector that finds something, null if none does."""
+    named = (
+        F.when(low.rlike(any_of(NOTICES)), "notice").when(low.rlike(any_of(ERRORS)), "error").otherwise("filler")
+    )
     return (
-        F.when(value.rlike("|".join([*PLACEHOLDERS, TODO])), "placeholder")
-        .when(plain.rlike(_any(NOTICES)), "notice")
-        .when(plain.rlike(_any(ERRORS)), "error")
-        .when(plain.rlike(_any(FILLER)), "filler")
+        F.when(value.rlike(SIGNS + "(?:" + "|".join(PLACEHOLDERS) + ")"), "placeholder")
+        .when(low.rlike(any_of([*NOTICES, *ERRORS, *FILLER])), named)
+        .when(value.rlike(TODO), "placeholder")
     )
 
 
@@ -95,8 +113,8 @@ def terms(text: Column) -> Column:
 def find_residue(df: DataFrame, id_col: str, fields: list[str], title: str, url: str) -> DataFrame:
     """Rows ``(id, field, reason)`` of the values that hold something else than content.
 
-    ``reason`` is the detector, or ``host`` where only host evidence speaks.  A weak word is
-    enough where neither title nor slug shares a term with a short body.
+    ``reason`` is the detector, or ``host`` where only host evidence speaks.  Two weak words
+    are enough where neither title nor slug shares a term with a short body.
 
     * Null values are no cases, nor is empty text.
     * A null title or address shares no term; rows without address are compared per table.
@@ -110,35 +128,50 @@ def find_residue(df: DataFrame, id_col: str, fields: list[str], title: str, url:
         F.explode(cells).alias("c"),
     ).select("__id", "host", "slug", "title", "c.*")
     rows = rows.where(F.length(F.trim("value")) > 0)
-    rows = rows.select("*", F.explode(F.array(strip_accents(F.lower("value")))).alias("plain"))
-    rows = rows.select("*", F.explode(F.array(detectors(F.col("value"), F.col("plain")))).alias("reason"))
+    rows = rows.select("*", F.explode(F.array(F.lower("value"))).alias("low"))
+    rows = rows.select("*", F.explode(F.array(detectors(F.col("value"), F.col("low")))).alias("reason"))
+
+    # The texts are searched once; what is kept are the findings and the short bodies.
+    body = F.col("field") != title
+    rows = rows.where(F.col("reason").isNotNull() | (body & (F.length("value") <= SHORT)))
+    text = F.when(F.col("reason").isNull(), strip_accents(F.col("low")))
+    rows = cut_lineage(rows.select("__id", "host", "slug", "title", "field", "reason", text.alias("plain")))
 
     # Host evidence: bodies only, a title is compared with nothing.
-    bodies = rows.where(F.col("field") != title)
-    short = bodies.where(F.col("reason").isNull() & (F.length("value") <= SHORT))
     context = terms(strip_accents(F.lower(F.concat_ws(" ", "title", "slug"))))
-    short = short.withColumn("words", terms(F.col("plain"))).where(~F.arrays_overlap("words", context))
-    weak = short.where(F.col("plain").rlike(WEAK) & (F.size("words") < 25))
+    short = rows.where(F.col("reason").isNull()).withColumn("words", terms(F.col("plain")))
+    short = short.where(~F.arrays_overlap("words", context))
+    weak_words = F.array_distinct(F.regexp_extract_all("plain", F.lit(f"({WEAK})"), F.lit(1)))
+    weak = short.where((F.size(weak_words) >= 2) & (F.size("words") < 25))
+    found = rows.where(F.col("reason").isNotNull()).select("__id", "field", "reason")
+    found = found.unionByName(weak.select("__id", "field", F.lit("weak").alias("reason")))
+    found = found.unionByName(host_evidence(df, fields, title, host, short))
+    return found.groupBy("__id", "field").agg(F.min("reason").alias("reason")).withColumnRenamed("__id", id_col)
+
+
+def host_evidence(df: DataFrame, fields: list[str], title: str, host: Column, short: DataFrame) -> DataFrame:
+    """Short bodies that a host serves under several titles and that use other words than its real texts."""
     # Numbers and identifiers are masked, so one message is one fingerprint.
     mask = F.regexp_replace(F.col("plain"), r"[0-9a-f]*\d[0-9a-f]*", "0")
     short = short.withColumn("print", F.xxhash64(mask))
     served = short.groupBy("host", "field", "print", "title").agg(F.first("words").alias("words"))
     served = served.groupBy("host", "field", "print").agg(F.count("*").alias("titles"), F.first("words").alias("words"))
-    served = served.where(F.col("titles") >= TITLES)
+    served = cut_lineage(served.where(F.col("titles") >= TITLES))
+    nothing = short.select("__id", "field", F.lit("host").alias("reason"))
+    if served.isEmpty():
+        return nothing.limit(0)
 
-    rich = bodies.where(F.col("reason").isNull() & (F.length("value") > SHORT))
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in fields if c != title])
+    rich = df.select(host.alias("host"), F.explode(cells).alias("c")).select("host", "c.*").where(F.length("value") > SHORT)
     totals = rich.groupBy("host", "field").agg(F.count("*").alias("n"))
-    vocabulary = rich.select("host", "field", F.explode(terms(F.col("plain"))).alias("word"))
-    vocabulary = vocabulary.groupBy("host", "field", "word").agg(F.count("*").alias("df"))
-    totals = F.broadcast(totals) if is_small(totals) else totals
-    vocabulary = vocabulary.join(totals, ["host", "field"]).where("df >= 0.002 * n").select("host", "field", "word")
+    # A term is looked up only if a served body asks for it.
     asked = served.select("host", "field", "print", F.size("words").alias("size"), F.explode("words").alias("word"))
-    known = asked.join(vocabulary.withColumn("known", F.lit(1)), ["host", "field", "word"], "left")
+    wanted = asked.select("word").distinct()
+    vocabulary = rich.select("host", "field", F.explode(terms(strip_accents(F.lower("value")))).alias("word"))
+    vocabulary = vocabulary.join(F.broadcast(wanted) if is_small(wanted) else wanted, "word", "left_semi")
+    vocabulary = vocabulary.groupBy("host", "field", "word").agg(F.count("*").alias("df")).join(totals, ["host", "field"])
+    vocabulary = vocabulary.where("df >= 0.02 * n").select("host", "field", "word", F.lit(1).alias("known"))
+    known = asked.join(vocabulary, ["host", "field", "word"], "left")
     known = known.groupBy("host", "field", "print").agg((F.sum("known") / F.max("size")).alias("share"))
     strange = known.where(F.coalesce("share", F.lit(0)) < 0.5).select("host", "field", "print")
-    by_host = short.join(strange, ["host", "field", "print"], "left_semi")
-
-    found = rows.where(F.col("reason").isNotNull()).select("__id", "field", "reason")
-    found = found.unionByName(weak.select("__id", "field", F.lit("weak").alias("reason")))
-    found = found.unionByName(by_host.select("__id", "field", F.lit("host").alias("reason")))
-    return found.groupBy("__id", "field").agg(F.min("reason").alias("reason")).withColumnRenamed("__id", id_col)
+    return short.join(strange, ["host", "field", "print"], "left_semi").select("__id", "field", F.lit("host").alias("reason"))
