@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from rowloom.llm.canonical import map_to_canonical
 from rowloom.llm.cut import CutModel, cut_rows, fit_cut_model, score_cuts, source_shares
 from rowloom.llm.fuse import Bundle, Dependency, fuse_groups
+from rowloom.llm.language import label_languages, train_language_model
 from rowloom.llm.leak import find_leaks
+from rowloom.llm.packing import pack_each, pack_table
 from rowloom.llm.residue import find_residue
 from rowloom.llm.topn import top_n_per_group
 from rowloom.operators.quantities import states_amount
@@ -200,6 +202,33 @@ def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "eval_items").select("item_id", "benchmark").join(leaks, "item_id")
 
 
+@query("p8_containers")
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one container; the capacities are used together."""
+    return pack_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "containers"), "doc_id", "text")
+
+
+@query("p8_each_capacity")
+def p8_each_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One complete packing of all documents for each capacity by itself."""
+    return pack_each(table(spark, sf_dir, "documents"), table(spark, sf_dir, "containers"), "doc_id", "text")
+
+
+@query("p10_languages")
+def p10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of every document and every paragraph."""
+    documents = table(spark, sf_dir, "documents")
+    model = train_language_model(documents, "text", "lang", "doc_id")
+    return label_languages(documents, model, "doc_id", "text", "lang")
+
+
+@query("p10_found")
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = p10_languages(spark, sf_dir)
+    case = F.col("label").isNull() | (F.col("label") != F.col("main")) | F.col("mixed")
+    return rows.where(case).select("doc_id", "para_no", "lang")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
