@@ -15,10 +15,10 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def parse_date(col: Column) -> Column:
+def parse_date(col: Column, cleaned: bool = False) -> Column:
     """ISO form of a date; ISO input is read as such, other numeric dates day first.  Text that
     is no date stays as it is, null stays null."""
-    text = clean_text(col)
+    text = col if cleaned else clean_text(col)
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), _iso(text.try_cast("timestamp")))
     found = [_iso(F.try_to_timestamp(text, F.lit(form))) for form in DAY_FIRST]
     return F.coalesce(iso, *found, text)

@@ -46,12 +46,12 @@ def province_of(island: Column) -> Column:
     return _lookup({k.upper(): v for k, v in ISLANDS.items()}, F.upper(island))
 
 
-def place(province: Column, municipality: Column, island: Column, raw_location: Column) -> Column:
+def place(province: Column, municipality: Column, island: Column, raw_location: Column, cleaned: bool = False) -> Column:
     """A struct ``(province, municipality, island, raw_location, confidence)``.
 
     The municipality decides, else the island, else the province, else a raw location that is
-    a municipality; what is missing stays null."""
-    p, m, i, r = (clean_text(c) for c in (province, municipality, island, raw_location))
+    a municipality; what is missing stays null.  ``cleaned`` says that the text is clean already."""
+    p, m, i, r = (c if cleaned else clean_text(c) for c in (province, municipality, island, raw_location))
 
     def listed(key: Column, k: int) -> Column:
         return _lookup({name: v[k] for name, v in MUNICIPALITIES.items()}, F.lower(key))
@@ -74,9 +74,9 @@ def place(province: Column, municipality: Column, island: Column, raw_location:
     )
 
 
-def contract(value: Column) -> Column:
+def contract(value: Column, cleaned: bool = False) -> Column:
     """A struct ``(contract_type, confidence)``: exact name, part of a word, else other."""
-    text = F.coalesce(F.lower(clean_text(value)), F.lit(""))
+    text = F.coalesce(F.lower(value if cleaned else clean_text(value)), F.lit(""))
 
     def made(kind: str | None, how: str) -> Column:
         return F.struct(F.lit(kind).cast("string").alias("contract_type"), F.lit(how).alias("confidence"))

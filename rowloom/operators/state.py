@@ -89,21 +89,22 @@ def upsert_actions(batch: DataFrame, state: DataFrame) -> DataFrame:
     return first_per_key(keyed, F.col("__slot"), [F.desc("__ordinal"), F.col("job_key")]).drop("__slot")
 
 
-def upsert(batch: DataFrame, state: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
-    """The new state and the counts ``(action, n)``.  ``first_seen_at`` is kept, ``last_seen_at``
-    is ``as_of``, an unchanged row keeps its content and ``updated_at``."""
-    done = upsert_actions(batch, state)
+def apply_actions(actions: DataFrame, state: DataFrame, as_of: Column) -> DataFrame:
+    """The new state after ``upsert_actions``.  ``first_seen_at`` is kept, ``last_seen_at`` is
+    ``as_of``, an unchanged row keeps its ``updated_at``."""
     at = as_of.cast("string")
-    stamps = {
+    fresh = actions.withColumns({
         "first_seen_at": F.coalesce("__first", at), "last_seen_at": at,
         "updated_at": F.when(F.col("action") == "unchanged", F.col("__updated")).otherwise(at),
-    }
-    columns = state.columns
-    fresh = done.withColumns(stamps)
-    replaced = done.where(F.col("__old").isNotNull()).select(F.col("__old").alias("job_key"))
-    kept = state.join(replaced, "job_key", "left_anti")
-    new = kept.unionByName(fresh.select(*columns))
-    return new, done.groupBy("action").agg(F.count("*").alias("n"))
+    })
+    replaced = actions.where(F.col("__old").isNotNull()).select(F.col("__old").alias("job_key"))
+    return state.join(replaced, "job_key", "left_anti").unionByName(fresh.select(*state.columns))
+
+
+def upsert(batch: DataFrame, state: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
+    """The new state and the counts ``(action, n)``."""
+    done = upsert_actions(batch, state)
+    return apply_actions(done, state, as_of), done.groupBy("action").agg(F.count("*").alias("n"))
 
 
 def compact(state: DataFrame) -> DataFrame:

@@ -103,19 +103,23 @@ def board_records(rows: DataFrame, source: str, scraped_at: Column) -> DataFrame
 def clean_records(df: DataFrame) -> DataFrame:
     """Every column cleaned, dates in ISO form, place and contract canonical with the raw values
     beside them.  Rows without a title are dropped; columns that are not of a posting stay."""
-    there = [c for c in JOB_COLUMNS if c in df.columns]
-    cleaned = {c: clean_text(F.col(c)) for c in there if c != "scraped_at"}
-    spot = place(F.col("province"), F.col("municipality"), F.col("island"), F.col("raw_location"))
-    kind = contract(F.col("contract_type"))
-    rows = df.select("*", F.explode(F.array(F.struct(spot.alias("p"), kind.alias("k")))).alias("__n"))
+    there = [c for c in JOB_COLUMNS if c in df.columns and c != "scraped_at"]
+    rest = [c for c in df.columns if c not in there]
+    # An explode of one element evaluates what follows from it once, however often it is used.
+    once = lambda x, name: F.explode(F.array(x)).alias(name)
+    rows = df.select(*rest, once(F.struct(*[clean_text(F.col(c)).alias(c) for c in there]), "__c")).select(*rest, "__c.*")
+    spot = place(F.col("province"), F.col("municipality"), F.col("island"), F.col("raw_location"), cleaned=True)
+    kind = contract(F.col("contract_type"), cleaned=True)
+    day = {c: parse_date(F.col(c), cleaned=True).alias(c) for c in ("publication_date", "update_date")}
+    rows = rows.where(F.col("title").isNotNull()).select("*", once(F.struct(spot.alias("p"), kind.alias("k"), *day.values()), "__n"))
     p = F.col("__n.p")
     rebuilt = F.nullif(F.concat_ws(" / ", p.municipality, p.island, p.province), F.lit(""))
-    values = cleaned | {
-        "source": F.lower(F.coalesce(cleaned["source"], F.lit("unknown"))), "external_id": F.coalesce(cleaned["external_id"], F.lit("")),
-        "publication_date": parse_date(F.col("publication_date")), "update_date": parse_date(F.col("update_date")),
-        "province_raw": cleaned["province"], "municipality_raw": cleaned["municipality"], "island_raw": cleaned["island"],
-        "contract_type_raw": cleaned["contract_type"], "province": p.province, "municipality": p.municipality, "island": p.island,
+    values = {
+        "source": F.lower(F.coalesce("source", F.lit("unknown"))), "external_id": F.coalesce("external_id", F.lit("")),
+        "publication_date": F.col("__n.publication_date"), "update_date": F.col("__n.update_date"),
+        "province_raw": F.col("province"), "municipality_raw": F.col("municipality"), "island_raw": F.col("island"),
+        "contract_type_raw": F.col("contract_type"), "province": p.province, "municipality": p.municipality, "island": p.island,
         "raw_location": F.coalesce(p.raw_location, rebuilt), "contract_type": F.col("__n.k.contract_type"),
-        "source_url": F.coalesce(cleaned["source_url"], F.lit("")),
+        "source_url": F.coalesce("source_url", F.lit("")),
     }
-    return rows.withColumns(values).drop("__n").where(F.col("title").isNotNull())
+    return rows.select(*[values.get(c, F.col(c)).alias(c) for c in df.columns])

@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowloom.functions.dates import in_window
 from rowloom.functions.keys import payload_hash, secondary_key, storage_key
-from rowloom.operators.state import StateTable, upsert
+from rowloom.operators.state import StateTable, apply_actions, upsert_actions
+from rowloom.session import cut_lineage
 from rowloom.sources.records import JOB_COLUMNS, clean_records
 
 
@@ -38,15 +39,12 @@ def run_cycle(batch: DataFrame, state: StateTable, as_of: str | None = None, cle
     """One cycle: clean, key, upsert, write the next version; gives the counts of the actions.
     Records are cleaned once; a caller that has done so says ``clean=False``."""
     at = F.lit(as_of or datetime.now(UTC).isoformat())
-    new, counts = upsert(keyed(clean_records(batch) if clean else batch), state.read(), at)
-    new, counts = new.persist(), counts.persist()
-    try:
-        done = {r.action: r.n for r in counts.collect()}
-        if done:
-            state.write(new)
-    finally:
-        new.unpersist()
-        counts.unpersist()
+    rows = cut_lineage(keyed(clean_records(batch) if clean else batch))
+    stored = state.read()
+    actions = cut_lineage(upsert_actions(rows, stored))
+    done = {r.action: r["count"] for r in actions.groupBy("action").count().collect()}
+    if done:
+        state.write(apply_actions(actions, stored, at))
     return {k: done.get(k, 0) for k in ("inserted", "updated", "unchanged")}
 
 
