@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rowloom.llm.sample import hash_sample
+from rowloom.session import cut_lineage
+
 
 #: Rows of the labelled sample that the model is trained on.
 TRAIN_ROWS = 20_000
@@ -154,19 +157,20 @@ def usual_closings(rows: DataFrame, share: float = 0.01) -> frozenset[str]:
 
     ends = F.col("__tail").rlike(r"[.!?][\"'»”)\]]*\s*$") & ~F.col("__tail").rlike(r"(\.\.\.|…)\s*$")
     open_ = rows.where(~ends).select("__hash", segment("__tail").alias("segment")).distinct()
-    counts = open_.groupBy("segment").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    p = F.col("n") / F.col("total")
-    lower = p - 1.64 * F.sqrt(p * (1 - p) / F.col("total"))
-    common = counts.join(F.broadcast(total)).where((lower >= share) & (F.col("n") >= 3))
+    counts = cut_lineage(open_.groupBy("segment").agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    p = F.col("n") / total
+    lower = p - 1.64 * F.sqrt(p * (1 - p) / total)
+    common = counts.where((lower >= share) & (F.col("n") >= 3))
     return frozenset(r.segment for r in common.select("segment").limit(int(2 / share)).collect() if r.segment)
 
 
 def fit_cut_model(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> CutModel:
     """Trains on ``train_rows`` intact values, chosen by hash so that every run takes the same."""
     limits, closings = length_limits(rows), usual_closings(rows)
-    sample = rows.dropDuplicates(["__hash"]).orderBy(F.xxhash64("__hash", F.lit(17)), "__hash").limit(train_rows)
-    pdf = sample.select("__tail", "__len", "__source").toPandas()
+    total = rows.agg(F.count_distinct("__hash")).first()[0]
+    sample = hash_sample(rows, "__hash", train_rows, total, 17).dropDuplicates(["__hash"])
+    pdf = sample.orderBy("__hash").select("__tail", "__len", "__source").toPandas()
     dots = pdf["__tail"].str.rstrip().str.endswith(("...", "…"))
     terminal = pdf["__tail"].map(lambda t: bool(_TERMINAL.search(t.rstrip()))) & ~dots
     usual = pdf["__tail"].map(lambda t: last_segment(t) in closings)

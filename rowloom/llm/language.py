@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.text import strip_accents
+from rowloom.llm.sample import hash_share
 
 #: Labelled rows that the models are trained on, and the longest text among them.
 TRAIN_ROWS = 6_000
@@ -102,19 +103,16 @@ def train_language_model(df: DataFrame, text: str, lang: str, key: str, train_ro
     the first models contradict are relabelled and the models are fitted again, twice."""
     rows = df.select(F.col(text).alias("t"), label_code(F.col(lang)).alias("l"), F.col(key).alias("k"))
     rows = rows.where((F.length("t") > 0) & F.col("l").isNotNull())
-    shares = rows.groupBy("l").agg(F.count("*").alias("n"))
-    shares = shares.join(F.broadcast(shares.agg(F.sum("n").alias("total")))).where(F.col("n") >= LANGUAGE_SHARE * F.col("total"))
-    names = sorted(r.l for r in shares.limit(200).collect())
+    found = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(200).collect()}
+    names = sorted(k for k, n in found.items() if n >= LANGUAGE_SHARE * sum(found.values()))
     if not names:
         return LanguageModel(["und"], np.zeros((1 << BITS, 1)))
-    rows = rows.where(F.col("l").isin(names) & (F.length("t") <= TRAIN_CHARS))
     # The same number of rows of each language, as far as it has so many.
     each = max(1, train_rows // len(names))
-    picked = None
-    for name in names:
-        part = rows.where(F.col("l") == name).orderBy(F.xxhash64("k", F.lit(23))).limit(each)
-        picked = part if picked is None else picked.unionByName(part)
-    pdf = picked.select(letters(F.col("t")).alias("t"), "l").toPandas()
+    share = F.create_map(*[F.lit(x) for k in names for x in (k, min(1.0, each / found[k]))])
+    kept = rows.where(F.col("l").isin(names) & (F.length("t") <= TRAIN_CHARS))
+    kept = kept.where(hash_share("k", F.element_at(share, F.col("l")), 23)).limit(2 * train_rows)
+    pdf = kept.select(letters(F.col("t")).alias("t"), "l", "k").toPandas().sort_values("k", kind="stable")
     counts = [Counter(t.split()) for t in pdf["t"]]
     labels = np.array([names.index(x) for x in pdf["l"]])
     model = _fit(names, counts, labels)
