@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.session import cut_lineage
+
 
 @dataclass(frozen=True)
 class Bundle:
@@ -117,6 +119,9 @@ def fuse_groups(
     if not dependencies:
         return top.select(F.col("__key").alias(key), *ids)
 
+    # The best candidates and the broken groups are written once; all that follows reads them.
+    top = cut_lineage(top)
+
     # What goes with what, by majority over all rows.
     sides = {n: c.cast("string") for b in bundles for n, c in b.signature.items()}
     maps: dict[tuple[str, str], DataFrame] = {}
@@ -130,7 +135,7 @@ def fuse_groups(
         wrong = top.select("__key", value(left).alias("x"), value(right).alias("z")).join(known, "x")
         wrong = wrong.where("z is not null and z <> y").select("__key")
         broken = wrong if broken is None else broken.unionByName(wrong)
-    broken = broken.distinct()
+    broken = cut_lineage(broken.distinct())
 
     union = None
     for b in bundles:
@@ -142,6 +147,7 @@ def fuse_groups(
             F.col("best.__id").alias("id"), signature.alias("signature"),
         )
         union = part if union is None else union.unionByName(part)
+    union = cut_lineage(union)
     rules = None
     for (left, right), known in maps.items():
         part = union.select("__key", F.explode(F.array(F.get_json_object("signature", f"$.{left}"))).alias("x"))
@@ -149,6 +155,7 @@ def fuse_groups(
             F.to_json(F.map_from_entries(F.collect_list(F.struct("x", "y")))).alias("known")
         ).select("__key", F.lit(f"{left}\x1f{right}").alias("rule"), "known")
         rules = part if rules is None else rules.unionByName(part)
+    rules = cut_lineage(rules)
     names = [b.name for b in bundles]
     kinds = dict(df.dtypes)
 
