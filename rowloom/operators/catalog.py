@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -189,3 +191,35 @@ def memory_resolution(records: DataFrame, found: DataFrame, resolvers: list[str]
         "memory_resolution_source": F.when(~there & known, F.concat(F.lit("university_"), "university_id")),
         "memory_url": F.when(there, F.col("memory_url")).otherwise(F.coalesce("__found", "memory_url")),
     }).drop("__found")
+
+
+def only_registered(records: DataFrame, registry: DataFrame) -> DataFrame:
+    """Records of universities that the registry knows under any name."""
+    names = registry_aliases(registry).select("alias")
+    names = F.broadcast(names) if is_small(names) else names
+    return records.withColumn("alias", norm_match(F.col("university"))).join(names, "alias", "left_semi").drop("alias")
+
+
+def resolve_links(records: DataFrame, links: DataFrame, score: Callable[[Column, Column, Column], Column], least: int = 1) -> DataFrame:
+    """``(university_id, title, url, score)``: for each degree the best link of its university.
+
+    ``links`` has ``university_id, label, url, position``; ``score`` takes label, address and
+    title.  Of equal scores the first link wins; degrees without a link of ``least`` give no row."""
+    wanted = records.select("university_id", "title").where("university_id is not null and title is not null").distinct()
+    pairs = wanted.join(links.select("university_id", "label", "url", "position"), "university_id")
+    pairs = pairs.withColumn("score", score(F.col("label"), F.col("url"), F.col("title"))).where(F.col("score") >= least)
+    key = F.struct("university_id", "title")
+    best = first_per_key(pairs.withColumn("__k", key), F.col("__k"), [F.desc("score"), F.col("position")])
+    return best.select("university_id", "title", "url", "score")
+
+
+def page_quality(description: Column) -> Column:
+    """``high`` from 500 characters, else ``medium``; null without a description."""
+    return F.when(F.length(description) >= 500, "high").when(F.length(description) > 0, "medium")
+
+
+def description_urls(with_report: bool) -> Column:
+    """Addresses that may hold a description, in order and distinct: the memories, then the report."""
+    memories = F.filter(F.split(F.coalesce("memory_url", F.lit("")), r"\|"), lambda u: u != "")
+    report = F.array("report_url") if with_report else F.array().cast("array<string>")
+    return F.array_distinct(F.filter(F.concat(memories, report), lambda u: u.isNotNull() & (u != "")))

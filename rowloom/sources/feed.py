@@ -7,10 +7,11 @@ runs it on the executors, pages by offset until a page comes back short, and yie
 
 from __future__ import annotations
 
-import importlib
+import base64
 import json
 from collections.abc import Callable, Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -35,8 +36,7 @@ class _Reader(DataSourceReader):
         return [_Query(q) for q in json.loads(self.options.get("queries", '[""]'))]
 
     def read(self, partition: _Query) -> Iterator[tuple]:
-        module, _, name = self.options["fetcher"].partition(":")
-        fetch: Fetcher = getattr(importlib.import_module(module), name)
+        fetch: Fetcher = cloudpickle.loads(base64.b64decode(self.options["fetcher"]))
         source, size = self.options.get("source", ""), int(self.options.get("page", "100"))
         limit = int(self.options.get("limit", str(1 << 31)))
         offset = 0
@@ -53,8 +53,8 @@ class _Reader(DataSourceReader):
 
 
 class FeedSource(DataSource):
-    """``spark.read.format("feed")`` with options ``fetcher`` (module:function), ``source``,
-    ``queries`` (JSON list), ``page`` and ``limit``."""
+    """``spark.read.format("feed")`` with options ``fetcher`` (a pickled function in base 64),
+    ``source``, ``queries`` (JSON list), ``page`` and ``limit``; ``read_feed`` sets them."""
 
     @classmethod
     def name(cls) -> str:
@@ -67,9 +67,9 @@ class FeedSource(DataSource):
         return _Reader(dict(self.options))
 
 
-def read_feed(spark: SparkSession, fetcher: str, source: str, queries: list[str], page: int = 100, limit: int | None = None) -> DataFrame:
+def read_feed(spark: SparkSession, fetcher: Fetcher, source: str, queries: list[str], page: int = 100, limit: int | None = None) -> DataFrame:
     spark.dataSource.register(FeedSource)
-    reader = spark.read.format("feed").option("fetcher", fetcher).option("source", source).option("queries", json.dumps(queries))
+    reader = spark.read.format("feed").option("fetcher", base64.b64encode(cloudpickle.dumps(fetcher)).decode()).option("source", source).option("queries", json.dumps(queries))
     reader = reader.option("page", str(page))
     return (reader.option("limit", str(limit)) if limit is not None else reader).load()
 

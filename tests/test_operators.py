@@ -1,11 +1,13 @@
 """Selection, mapping, pairing, vectors, analytics, catalogue."""
 
 import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.functions.text import norm_words, strip_accents
+from rowloom.functions.text import STOPWORDS, strip_accents
 from rowloom.operators import analytics, catalog, mapping, pairing, select, vectors
 from rowloom.operators.joins import is_small, join_dimension
 
@@ -50,7 +52,7 @@ def test_join_dimension(spark):
 
 def plain_scores(jobs, degrees):
     """The scores by comparing every token with every token."""
-    stop = set(mapping.tokens.__globals__["STOPWORDS"])
+    stop = set(STOPWORDS)
     tok = lambda t: [w for w in t.split() if w not in stop]
 
     def match(a, b):
@@ -101,10 +103,15 @@ def test_mapping_expectations(spark):
     assert mapped(spark, "A", []).degree_match_status == "no_match"
 
 
-def full_scores(spark, jobs, rows):
+def plain_norm(text):
+    bare = "".join(c for c in unicodedata.normalize("NFD", (text or "").lower()) if unicodedata.category(c) != "Mn")
+    return " ".join(re.sub("[^a-z0-9]", " ", bare).split())
+
+
+def full_scores(jobs, rows):
     """Scores of every posting and title without the inverted index."""
-    stop = set(mapping.tokens.__globals__["STOPWORDS"])
-    norm = lambda t: spark.createDataFrame([(t,)], "t string").select(norm_words(F.col("t"))).first()[0] or ""
+    stop = set(STOPWORDS)
+    norm = plain_norm
     tok = lambda t: [w for w in t.split() if w not in stop]
     sim = lambda job, deg: sum(x[:5] in {y[:5] for y in tok(job)} for x in tok(deg)) / len(tok(deg)) if tok(deg) and tok(job) else 0.0
     out = {}
@@ -141,7 +148,7 @@ def test_mapping_against_full_scoring(spark):
                          ("Derecho", "Ciencias Sociales y Juridicas"), ("Ingenieria Informatica", "Ingenieria y Arquitectura"))]
     df = spark.createDataFrame([(i, t, d) for i, (t, d) in enumerate(jobs)], "id int, title string, description string")
     got = {r.id: (r.target_degree_titles or "").split("|") for r in mapping.map_degrees(df, catalogue(spark, rows), "id", "row_id").collect()}
-    for i, wanted in full_scores(spark, jobs, rows).items():
+    for i, wanted in full_scores(jobs, rows).items():
         assert [x for x in got[i] if x] == wanted, jobs[i]
 
 

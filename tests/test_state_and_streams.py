@@ -98,17 +98,16 @@ def test_windows_in_a_stream(spark, tmp_path):
     assert cycles.sessions(spark.read.parquet(str(tmp_path / "ev")), "ts", "k", "30 minutes").count() == 3
 
 
-def pages(source, query, offset, size):
-    if query == "bad":
-        raise feed.FeedError("no answer")
-    return [{"id": f"{query}{k}"} for k in range(offset, min(offset + size, 5))]
-
-
 def test_feed(spark):
-    got = feed.read_feed(spark, "test_state_and_streams:pages", "s", ["a", "bad", "b"], page=2)
+    def pages(source, query, offset, size):
+        if query == "bad":
+            raise RuntimeError("no answer")
+        return [{"id": f"{query}{k}"} for k in range(offset, min(offset + size, 5))]
+
+    got = feed.read_feed(spark, pages, "s", ["a", "bad", "b"], page=2)
     assert sorted(r.id for r in feed.payloads(got, "id string").collect()) == [f"{q}{k}" for q in "ab" for k in range(5)]
-    assert [(r.query, r.failure) for r in feed.failures(got).collect()] == [("bad", "FeedError: no answer")]
-    assert feed.payloads(feed.read_feed(spark, "test_state_and_streams:pages", "s", ["a"], page=2, limit=3), "id string").count() == 3
+    assert [(r.query, r.failure) for r in feed.failures(got).collect()] == [("bad", "RuntimeError: no answer")]
+    assert feed.payloads(feed.read_feed(spark, pages, "s", ["a"], page=2, limit=3), "id string").count() == 3
 
 
 def test_files(spark, tmp_path):
