@@ -142,7 +142,8 @@ def test_flows(spark, tmp_path):
     again = flows.align_flow(table.read(), catalogue, cache, pairs, "hashing", "m", "t2").counts
     assert again["updated"] == 1 and again["embedded"] == 0 and again["stale"] == 0
     assert flows.compact_flow(table).counts == {"before": 2, "after": 2}
-    assert flows.jobs_flow(raw, degrees, table, "t3", scaled=True).counts["unchanged"] == 2
+    assert flows.select_scaled(raw, 100).count() == 0  # a source without a quota gives none
+    assert flows.select_scaled(raw.withColumn("source", F.lit("SCE")), 100).count() == 2
 
 
 def test_embed_and_catalogue_flow(spark, tmp_path):
