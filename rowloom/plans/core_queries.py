@@ -358,21 +358,40 @@ def q_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(rows.select("text_id", "n_rows"), "text_id")
 
 
+def _class_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Postings and degrees that pass the gates of pairing, row by row, with the key of their class:
+    postings with the same targets, degrees with the same title and branch.  Null counts as empty."""
+    target = ["target_degree_titles", "target_degree_branches", "degree_match_status"]
+    out = []
+    for tbl, key, of in (("jobs", "job_key", target), ("degrees", "degree_key", ["title", "branch"])):
+        rows = table(spark, sf_dir, tbl).withColumn("text", pairing.gate_text()).where(F.length("text") >= 40)
+        rows = rows.where("degree_match_status = 'matched'") if tbl == "jobs" else rows
+        rows = rows.select("row_id", "text", *[F.coalesce(c, F.lit("")).alias(c) for c in of])
+        out.append(rows.withColumn(key, F.sha2(F.concat_ws("\u001f", *of), 256)))
+    return out[0], out[1]
+
+
 @query("candidate_pair_classes")
 def q_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate pairs between classes: postings with the same targets, degrees with the same
-    title and branch, with the number of members on both sides."""
-    jobs = table(spark, sf_dir, "jobs").where("degree_match_status = 'matched'")
-    target = ["target_degree_titles", "target_degree_branches", "degree_match_status"]
-    job_class = jobs.groupBy(*target).agg(F.max(pairing.gate_text()).alias("description"), F.count("*").alias("n_jobs"))
-    job_class = job_class.withColumn("job_key", F.sha2(F.concat_ws("\u001f", *[F.coalesce(c, F.lit("")) for c in target]), 256))
+    """Candidate pairs between classes, with the number of members on both sides; the members are
+    the rows of ``candidate_pair_members``, and every member of one side pairs with every one of the other."""
+    jobs, degrees = _class_rows(spark, sf_dir)
+    target = ["job_key", "target_degree_titles", "target_degree_branches", "degree_match_status"]
+    job_class = jobs.groupBy(*target).agg(F.max("text").alias("description"), F.count("*").alias("n_jobs"))
     job_class = job_class.withColumn("title", F.lit(None).cast("string"))
-    degrees = table(spark, sf_dir, "degrees").groupBy("title", "branch").agg(F.max(pairing.gate_text()).alias("description"), F.count("*").alias("n_degrees"))
-    degrees = degrees.withColumn("degree_key", F.sha2(F.concat_ws("\u001f", F.coalesce("title", F.lit("")), F.coalesce("branch", F.lit(""))), 256))
+    degrees = degrees.groupBy("degree_key", "title", "branch").agg(F.max("text").alias("description"), F.count("*").alias("n_degrees"))
     pairs = pairing.candidate_pairs(job_class, degrees).select("job_key", "degree_key")
     return pairs.join(job_class.select("job_key", "n_jobs"), "job_key").join(degrees.select("degree_key", "n_degrees"), "degree_key")
 
 
+@query("candidate_pair_members")
+def q_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each row that takes part in ``candidate_pair_classes``."""
+    jobs, degrees = _class_rows(spark, sf_dir)
+    members = jobs.select(F.lit("jobs").alias("tbl"), "row_id", F.col("job_key").alias("class_key"))
+    return members.unionByName(degrees.select(F.lit("degrees").alias("tbl"), "row_id", F.col("degree_key").alias("class_key")))
+
+
 @query(
     "matched_gate",
     """SELECT degree_match_status, count(*) AS n, count(*) FILTER (WHERE length(trim(coalesce(nullif(description, ''), title, ''))) >= 40) AS n_long

@@ -171,6 +171,53 @@ def test_pairing(spark):
     assert pairing.candidate_pairs(jobs.limit(0), degrees).count() == 0
 
 
+def plain_families(title):
+    """Family keys as the reference has them."""
+    clean = lambda t: " ".join(re.split(pairing.TAIL, t)[0].split())
+    norm = plain_norm(title)
+    single, double = (re.search(p + r"\bgrado en ([a-z0-9 ]+)", norm) for p in ("", r"\bdoble "))
+    keys = {clean(single[1])} if single else set()
+    return (keys | {p.strip() for p in re.split(r"\by\b", clean(double[1]))} if double else keys) - {""}
+
+
+def plain_pairs(jobs, degrees):
+    """JN1 to JN4 of every posting row with every degree row."""
+    text = lambda r: (r["description"] or r["title"] or "").strip()
+    pipes = lambda v: {x.strip() for x in (v or "").split("|")} - {""}
+    out = set()
+    for j in jobs:
+        titles, branches = pipes(j["target_degree_titles"]), pipes(j["target_degree_branches"])
+        wanted = {f for t in titles for f in plain_families(t)}
+        for d in degrees:
+            own = plain_families(d["title"])
+            met = d["title"] in titles or own & wanted or (d["branch"] in branches and (not wanted or own & wanted))
+            if met and j["degree_match_status"] == "matched" and min(len(text(j)), len(text(d))) >= 40:
+                out.add((j["row_id"], d["row_id"]))
+    return out
+
+
+def test_pair_classes_hold_every_pair_of_rows(spark, frame, tmp_path):
+    from rowloom.plans import core_queries
+
+    rng = random.Random(11)
+    texts = ["a" * 50, "zz short", None, "", "m" * 40, "zz" + " " * 60]
+    names = ["Grado en Psicología", "Doble Grado en Psicología y Turismo", "Grado en Turismo online", "Máster en X", None, ""]
+    jobs = [{"row_id": k, "title": rng.choice(["t", "t" * 45]), "description": rng.choice(texts), "target_degree_titles": rng.choice([*names, "Grado en Turismo | Máster en X"]),
+             "target_degree_branches": rng.choice(["Salud", "Salud|Artes", None, ""]), "degree_match_status": rng.choice(["matched", "matched", "matched", "no_rule"])} for k in range(90)]
+    degrees = [{"row_id": k, "title": rng.choice(names), "branch": rng.choice(["Salud", "Artes", None, ""]), "description": rng.choice(texts)} for k in range(70)]
+    frame(jobs, "row_id bigint, title string, description string, target_degree_titles string, target_degree_branches string, degree_match_status string").write.parquet(f"{tmp_path}/jobs.parquet")
+    frame(degrees, "row_id bigint, title string, branch string, description string").write.parquet(f"{tmp_path}/degrees.parquet")
+    members = {}
+    for r in core_queries.queries()["candidate_pair_members"](spark, str(tmp_path)).collect():
+        members.setdefault((r.tbl, r.class_key), []).append(r.row_id)
+    got = []
+    for r in core_queries.queries()["candidate_pair_classes"](spark, str(tmp_path)).collect():
+        left, right = members["jobs", r.job_key], members["degrees", r.degree_key]
+        assert (r.n_jobs, r.n_degrees) == (len(left), len(right))
+        got += [(a, b) for a in left for b in right]
+    assert len(got) == len(set(got)) and set(got) == plain_pairs(jobs, degrees) and got
+
+
 def test_families(spark):
     df = spark.createDataFrame([("Doble Grado en Psicología y Criminología",), ("Máster en X",), (None,)], "t string")
     got = [r.k for r in df.select(pairing.family_keys(F.col("t")).alias("k")).collect()]
