@@ -31,6 +31,9 @@ MISS = 1e-4
 BLOCK = 20_000
 #: A leak repeats so many words of the item.
 PASSAGE = 25
+#: So many shingles that no other item has tell an altered passage, and so many two passages, from
+#: sentences of the same style.
+UNIQUE, UNIQUE_OF_TWO = 8, 12
 
 
 def plain_words(text: Column) -> Column:
@@ -108,12 +111,14 @@ class ItemIndex:
         words_df = Counter(x for i in texts.values() for x in set(self.hashed[i].tolist()))
         common = np.array([x for x, n in words_df.items() if n > often], np.uint64)
         self.rare = {i: ~np.isin(h, common) for i, h in self.hashed.items()}
-        self.own = {}
+        self.own, self.telling, self.unique, self.all = {}, {}, {}, {}
         for i, s in shingles.items():
             few = np.array([df[x] <= often for x in s.tolist()], bool)
             rare = np.convolve(self.rare[i], np.ones(SHINGLE, int), "valid")[: len(s)] > 0 if len(s) else few
-            keep = few & rare if (few & rare).sum() * 4 >= len(s) else few
-            self.own[i] = np.unique(s[keep])
+            self.own[i] = np.unique(s[few])
+            self.telling[i] = np.unique(s[few & rare])
+            self.unique[i] = np.unique(s[np.array([df[x] == 1 for x in s.tolist()], bool)])
+            self.all[i] = np.unique(s)
         entries = []
         hashes = PARTITIONS[-1][1]
         for i, s in shingles.items():
@@ -164,10 +169,13 @@ class ItemIndex:
         if own is None or not len(own):
             return 0, 0.0
         at = np.flatnonzero(np.isin(s, own))
-        contained = len(np.unique(s[at]))
-        if contained < min(2, len(own)):
-            return 0, 0.0
+        contained = np.unique(s[at])
+        share = len(contained) / len(own)
         b, rare = self.hashed[item], self.rare[item]
+        # Words repeated one after the other are a leak whatever words they are.
+        verbatim = self.verbatim(h, s, item)
+        if len(contained) < min(UNIQUE, len(own)) and np.isin(contained, self.telling[item]).sum() < min(2, len(own)):
+            return verbatim, share if verbatim else 0.0
         margin = 30
         cuts = np.flatnonzero(np.diff(at) > 2 * margin)
         passages = []
@@ -176,20 +184,39 @@ class ItemIndex:
             region = h[lo:hi]
             for _ in range(2):
                 score, matched, n_rare, span, item_span = align(region, b, rare)
-                if score < 8 or not n_rare:
+                if score < 8:
                     break
-                passages.append((score, matched, n_rare, item_span))
+                n_unique = np.isin(self.unique[item], self.hasher.shingles(region[span[0] : span[1]])).sum()
+                passages.append((score, matched, n_rare, n_unique, item_span))
                 region = region.copy()
                 region[span[0] : span[1]] = 0
-        passages.sort(key=lambda p: -p[0])
-        best = passages[:1]
-        if best:
-            seen = best[0][3]
-            best += [p for p in passages[1:] if min(seen[1], p[3][1]) - max(seen[0], p[3][0]) <= 3][:1]
-        score, matched, n_rare = (sum(p[k] for p in best) for k in range(3))
         scale = min(1.0, len(b) / PASSAGE)
-        enough = (score >= 22 * scale and n_rare >= min(2, int(rare.sum()))) or (score >= 16 * scale and n_rare >= 3)
-        return (int(matched), contained / len(own)) if enough else (0, 0.0)
+        most = verbatim
+        # Passages with words of the item's own go before common phrases that align as well.
+        alone = [[p] for p in passages]
+        for kept in (passages, [p for p in passages if p[2]], [p for p in passages if p[3]], *alone):
+            best = sorted(kept, key=lambda p: -p[0])
+            if best:
+                seen = best[0][4]
+                best = best[:1] + [p for p in best[1:] if min(seen[1], p[4][1]) - max(seen[0], p[4][0]) <= 3][:1]
+            score, matched, n_rare, n_unique = (sum(p[k] for p in best) for k in range(4))
+            enough = (score >= 22 * scale and n_rare >= min(2, int(rare.sum()))) or (score >= 16 * scale and n_rare >= 3)
+            enough |= score >= 16 * scale and matched >= (PASSAGE - 3) * scale and n_unique >= (UNIQUE if len(best) == 1 else UNIQUE_OF_TWO)
+            most = max(most, int(matched) if enough else 0)
+        return most, share if most else 0.0
+
+    def verbatim(self, h: np.ndarray, s: np.ndarray, item: int) -> int:
+        """Words of the longest part of the item that the document repeats unchanged, if they make a passage."""
+        least, b = PASSAGE - SHINGLE + 1, self.hashed[item]
+        off = np.flatnonzero(~np.isin(s, self.all[item]))
+        ends = np.concatenate([[-1], off, [len(s)]])
+        most = 0
+        for k in np.flatnonzero(np.diff(ends) > least).tolist():
+            run = np.zeros(len(b) + 1, int)
+            for x in h[ends[k] + 1 : ends[k + 1] + SHINGLE - 1]:
+                run[1:] = np.where(b == x, run[:-1] + 1, 0)
+                most = max(most, int(run.max()))
+        return most if most >= PASSAGE else 0
 
 
 def align(a: np.ndarray, b: np.ndarray, rare: np.ndarray) -> tuple[float, int, int, tuple[int, int], tuple[int, int]]:

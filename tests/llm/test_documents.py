@@ -100,6 +100,22 @@ def test_leaks(spark):
     assert got == wanted
 
 
+def test_leaks_of_common_words(spark):
+    """Items whose words are all common: the order of the words tells a passage."""
+    rng = random.Random(21)
+    vocabulary = [f"palabra{chr(97 + k)}" for k in range(26)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=70))) for k in range(30)]
+    filler = lambda n: rng.choices("uno dos tres cuatro cinco".split(), k=n)
+    docs, wanted = [], set()
+    for k in range(60):
+        i, words = k % 30, items[k % 30][1].split()
+        body = [words[20:45], words[8:30] + ["cosa", "otra"] + words[32:50], words[5:18] + filler(50) + words[18:30], words[5:17]][k % 4]
+        docs.append((k, " ".join(filler(40) + body + filler(40))))
+        wanted |= {(k, i)} if k % 4 < 3 else set()
+    got = find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == wanted
+
+
 def test_leak_edges(spark):
     items = spark.createDataFrame([(1, made_items()[0][1]), (2, made_items()[0][1]), (3, None), (4, ""), (5, "dos palabras")], "item_id bigint, text string")
     text = made_items()[0][1]
