@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,19 +34,32 @@ def bootstrap_mean(df: DataFrame, group: str, value: str, order: str, draws: int
     """``(group, n, mean, low, high)``: mean and the 2.5 and 97.5 per cent bounds of resampled means.
 
     Instead of drawing indices and joining rows to them, each row gets the number of times a
-    draw takes it, a Poisson count of mean 1 from a hash of (row, draw, seed); the resampled
-    mean is the ratio of two sums.  So no draw needs all rows in one place, and equal input
-    gives equal bounds.  Null values are left out.
+    draw takes it, a Poisson count of mean 1; the resampled mean is the ratio of two sums.  Rows
+    that agree in group, value and ``order`` get the sum of their counts, a Poisson count with
+    their number as mean, from a generator seeded by a hash of the three: rows written twice
+    weigh independently, no draw needs all rows in one place, and equal input gives equal bounds.
+    Each task adds up its rows before anything is shuffled.  Null values are left out.
     """
     rows = df.where(F.col(value).isNotNull()).select(group, value, order)
-    u = (F.pmod(F.xxhash64(order, "draw", F.lit(seed)), F.lit(1 << 30)) + F.lit(0.5)) / F.lit(1 << 30)
-    weight, p, total = F.lit(0), 0.36787944117144233, 0.0
-    for k in range(10):
-        total += p
-        weight = weight + F.when(u > total, 1).otherwise(0)
-        p /= k + 1
-    spread = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw")).withColumn("w", weight)
-    means = spread.groupBy(group, "draw").agg((F.sum(F.col("w") * F.col(value)) / F.sum("w")).alias("m"))
+    counted = rows.groupBy(group, value, order).agg(F.count("*").alias("__n"))
+    counted = counted.select(
+        F.col(group).alias("__g"), F.col(value).cast("double").alias("__v"), "__n", F.xxhash64(group, value, order, F.lit(seed)).alias("__seed")
+    )
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for b in batches:
+            for g, v, n, s in zip(b["__g"], b["__v"], b["__n"], b["__seed"], strict=True):
+                w = np.random.Generator(np.random.SFC64(int(s) & (2**64 - 1))).poisson(n, draws)
+                total = sums.setdefault(g, np.zeros((2, draws)))
+                total[0] += w
+                total[1] += w * v
+        for g, (w, x) in sums.items():
+            yield pd.DataFrame({"__g": [g] * draws, "draw": np.arange(draws), "w": w, "x": x})
+
+    drawn = counted.mapInPandas(draw, f"__g {dict(df.dtypes)[group]}, draw int, w double, x double")
+    # A draw that takes no row at all has no mean.
+    means = drawn.groupBy(F.col("__g").alias(group), "draw").agg(F.try_divide(F.sum("x"), F.sum("w")).alias("m"))
     bounds = means.groupBy(group).agg(F.percentile("m", F.lit(0.025)).alias("low"), F.percentile("m", F.lit(0.975)).alias("high"))
     plain = rows.groupBy(group).agg(F.count("*").alias("n"), F.avg(value).alias("mean"))
     return plain.join(bounds, group)

@@ -634,7 +634,7 @@ def q_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bootstrap_ci")
 def q_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.bootstrap_mean(_facts(spark, sf_dir)[0], "sector", "score", "pair_key", draws=200)
+    return analytics.bootstrap_mean(_facts(spark, sf_dir)[0], "sector", "score", "pair_key")
 
 
 @query("source_roots", "SELECT string_split(source, '_')[1] AS root, count(*) AS n FROM jobs GROUP BY ALL")

@@ -153,7 +153,7 @@ def sector_report(pairs: DataFrame, degrees: DataFrame, registry: DataFrame) ->
     best = analytics.best_per_sector(facts, "job_key", "university_type", "score")
     return {
         "lost": lost, "summary": analytics.sector_summary(facts, "university_type", "score"),
-        "intervals": analytics.bootstrap_mean(facts, "university_type", "score", "pair_key", draws=1000),
+        "intervals": analytics.bootstrap_mean(facts, "university_type", "score", "pair_key"),
         "metrics": analytics.key_metrics(best), "gaps": analytics.sector_gaps(best, "job_key"),
         "composition": analytics.composition(facts, F.coalesce("branch", F.lit("")), "university_type"),
     }

@@ -259,6 +259,22 @@ def test_analytics(spark):
     assert analytics.bootstrap_mean(many.limit(0), "g", "v", "o", draws=5).count() == 0
 
 
+def test_bootstrap_draws_and_repeated_rows(spark, monkeypatch):
+    from rowloom.plans import core_queries
+
+    rows = spark.range(400).select(F.lit("g").alias("g"), (F.col("id") % 10).cast("double").alias("v"), F.lit("same").alias("o"))
+    r = analytics.bootstrap_mean(rows, "g", "v", "o", draws=2000).first()
+    # With one key for all rows the bounds are still those of 400 rows.
+    assert abs((r.high - r.low) / 2 - 1.96 * 2.8722 / 20) < 0.03
+    one = analytics.bootstrap_mean(rows.limit(1), "g", "v", "o", draws=50).first()
+    assert one.low == one.high == one["mean"]
+    asked = []
+    monkeypatch.setattr(analytics, "bootstrap_mean", lambda *a, draws=5000, **k: asked.append(draws))
+    monkeypatch.setattr(core_queries, "_facts", lambda *a: (None, None))
+    core_queries.queries()["bootstrap_ci"](spark, "")
+    assert asked == [5000]
+
+
 def registry(spark):
     return spark.createDataFrame([("u1", "Universidad Á", "publica", "u. a|ua"), ("u2", "Universidad B", "privada", None)],
                                  "university_id string, canonical_name string, university_type string, aliases string")
