@@ -143,11 +143,13 @@ def gate(report: DataFrame, column: str, least: float | None) -> tuple[bool, str
 def blocked_records(records: DataFrame, valid_title: Column, valid_url: Column) -> DataFrame:
     """Records that a gate stops, each with the first reason."""
     empty = lambda c: F.length(F.trim(F.coalesce(c, F.lit("")))) == 0
+    # An explode of one element evaluates the two tests once.
+    tests = F.explode(F.array(F.struct(valid_title.alias("title"), valid_url.alias("url")))).alias("__valid")
     reason = (
         F.when(empty("title"), "missing_title").when(empty("source_url"), "missing_url").when(empty("university_id"), "missing_university")
-        .when(~F.coalesce(valid_title, F.lit(False)), "invalid_title").when(~F.coalesce(valid_url, F.lit(False)), "invalid_url")
+        .when(~F.coalesce("__valid.title", F.lit(False)), "invalid_title").when(~F.coalesce("__valid.url", F.lit(False)), "invalid_url")
     )
-    return records.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return records.select("*", tests).withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("__valid")
 
 
 def preferred_report(reports: DataFrame, key: str) -> DataFrame:

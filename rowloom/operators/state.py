@@ -1,12 +1,14 @@
 """State tables kept by content: upsert, compaction, stale rows.
 
-A state is a folder of numbered Parquet versions.  A version is written in full beside the
-old ones and becomes current when its marker file is there, so readers and failed writers
-never see half a state and the path that is read is never overwritten.
+A state is a folder of numbered versions.  Rows lie in buckets by a hash of their key, and a
+version names for each bucket the folder that holds it, so an upsert writes only the buckets
+it changes.  A version becomes current when its manifest is there: readers and failed writers
+never see half a state, and a folder that is read is never overwritten.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,56 +17,113 @@ from pyspark.sql.types import StructType
 
 from rowloom.operators.select import first_per_key, latest_two_pass
 
+#: Buckets of a new state; a state keeps the number it was made with.
+BUCKETS = 64
+
 
 class StateTable:
-    """Versions of a table under one folder."""
+    """Versions of a table under one folder, in buckets by the hash of ``key``."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType | str) -> None:
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: StructType | str, key: str = "job_key", buckets: int = BUCKETS) -> None:
+        self.spark, self.path, self.key, self._buckets = spark, path.rstrip("/"), key, buckets
+        self.schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
     def _fs(self):
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), root, jvm
+        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
+
+    def _at(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def _names(self, folder: str = "") -> list[str]:
+        fs, _ = self._fs()
+        at = self._at(folder) if folder else self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
 
     def versions(self) -> list[int]:
-        fs, root, jvm = self._fs()
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        done = lambda n: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))
-        return sorted(int(n[1:]) for n in names if re.fullmatch(r"v\d+", n) and done(n))
+        found = [re.fullmatch(r"manifest-(\d+)\.json", n) for n in self._names()]
+        return sorted(int(m[1]) for m in found if m)
+
+    def _manifest(self, version: int) -> dict:
+        fs, jvm = self._fs()
+        stream = fs.open(self._at(f"manifest-{version}.json"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _publish(self, version: int, buckets: int, folders: dict[str, str]) -> int:
+        fs, jvm = self._fs()
+        draft = self._at(f".manifest-{version}")
+        stream = fs.create(draft, True)
+        stream.write(bytearray(json.dumps({"buckets": buckets, "folders": folders}).encode()))
+        stream.close()
+        if not fs.rename(draft, self._at(f"manifest-{version}.json")):
+            raise RuntimeError(f"another writer has made version {version}")
+        return version
 
-    def read(self) -> DataFrame:
+    def _current(self) -> tuple[int, int, dict[str, str]]:
         found = self.versions()
         if not found:
+            return 0, self._buckets, {}
+        m = self._manifest(found[-1])
+        return found[-1], m["buckets"], m["folders"]
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema if isinstance(self.schema, StructType) else StructType.fromDDL(self.schema)).parquet(
-            f"{self.path}/v{found[-1]}"
-        )
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in sorted(folders)])
+
+    def read(self) -> DataFrame:
+        return self._read(list(self._current()[2].values()))
+
+    def bucket(self, key: Column, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(buckets))
+
+    def _write(self, df: DataFrame, version: int, buckets: int) -> dict[str, str]:
+        out = df.select(*self.schema.names, self.bucket(F.col(self.key), buckets).alias("__bucket"))
+        out.repartition("__bucket").write.mode("overwrite").partitionBy("__bucket").parquet(f"{self.path}/v{version}")
+        return {n.split("=")[1]: f"v{version}/{n}" for n in self._names(f"v{version}") if n.startswith("__bucket=")}
 
     def write(self, df: DataFrame) -> int:
-        version = (self.versions() or [0])[-1] + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}")
-        return version
+        """Replace the state by ``df``."""
+        version, buckets, _ = self._current()
+        return self._publish(version + 1, buckets, self._write(df, version + 1, buckets))
+
+    def merge(self, fresh: DataFrame, gone: DataFrame) -> int:
+        """Add ``fresh`` and drop the rows with a key of ``gone``; other buckets stay where they are."""
+        version, buckets, folders = self._current()
+        keys = fresh.select(self.key).unionByName(gone.select(self.key))
+        touched = {str(r.b) for r in keys.select(self.bucket(F.col(self.key), buckets).alias("b")).distinct().collect()}
+        kept = self._read([f for b, f in folders.items() if b in touched]).join(gone.select(self.key).distinct(), self.key, "left_anti")
+        new = self._write(kept.unionByName(fresh.select(*self.schema.names)), version + 1, buckets)
+        return self._publish(version + 1, buckets, {b: f for b, f in folders.items() if b not in touched} | new)
 
     def forget(self, keep: int = 2) -> None:
-        """Delete all but the newest versions."""
-        fs, _, jvm = self._fs()
-        for v in self.versions()[:-keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{v}"), True)
+        """Delete all but the newest versions, and the folders that none of those names."""
+        fs, _ = self._fs()
+        found = self.versions()
+        used = {f for v in found[-keep:] for f in self._manifest(v)["folders"].values()}
+        for v in found[:-keep]:
+            fs.delete(self._at(f"manifest-{v}.json"), False)
+            for name in self._names(f"v{v}"):
+                if f"v{v}/{name}" not in used:
+                    fs.delete(self._at(f"v{v}/{name}"), True)
 
 
 def match_state(batch: DataFrame, state: DataFrame) -> DataFrame:
-    """Incoming rows with the key of the stored row they mean: equal primary or equal secondary
-    key, the newest stored row of those.  Two equi-joins, never a join with OR; a null
+    """``(job_key, __old, __at, __first, __old_hash)``: for each incoming row every stored row that it
+    means, by equal primary or equal secondary key.  Two equi-joins, never a join with OR; a null
     secondary key matches nothing."""
-    stored = state.select(F.col("job_key").alias("__old"), F.col("secondary_key").alias("__sec"), F.col("updated_at").alias("__at"))
-    by_key = batch.select("job_key").join(stored, F.col("job_key") == F.col("__old")).select("job_key", "__old", "__at")
+    stored = state.select(
+        F.col("job_key").alias("__old"), F.col("secondary_key").alias("__sec"), F.col("updated_at").alias("__at"),
+        F.col("first_seen_at").alias("__first"), F.col("payload_hash").alias("__old_hash"),
+    )
+    by_key = batch.select("job_key").join(stored, F.col("job_key") == F.col("__old"))
     by_second = batch.select("job_key", "secondary_key").join(stored, F.col("secondary_key") == F.col("__sec"))
-    both = by_key.unionByName(by_second.select("job_key", "__old", "__at"))
-    best = both.groupBy("job_key").agg(F.max(F.struct("__at", "__old")).alias("m")).select("job_key", F.col("m.__old").alias("__old"))
-    return batch.join(best, "job_key", "left")
+    columns = ["job_key", "__old", "__at", "__first", "__old_hash"]
+    return by_key.select(*columns).unionByName(by_second.select(*columns)).distinct()
 
 
 def upsert_actions(batch: DataFrame, state: DataFrame) -> DataFrame:
@@ -72,33 +131,43 @@ def upsert_actions(batch: DataFrame, state: DataFrame) -> DataFrame:
 
     Within the batch the last row of a key by ``__ordinal`` counts, then of rows that share a
     secondary key the last; the batch needs ``job_key, secondary_key, payload_hash, __ordinal``.
+    An incoming row is compared with the newest stored row that it means (``__old``, null if
+    there is none); ``__replaced`` lists all of them and ``__first`` is their first sighting.
     """
     last = latest_two_pass(
         batch.where(F.col("job_key").isNotNull()), F.col("job_key"), F.col("secondary_key"), [F.col("__ordinal")], F.col("payload_hash")
     )
-    matched = match_state(last, state)
-    old = state.select(
-        F.col("job_key").alias("__old"), F.col("payload_hash").alias("__old_hash"), F.col("first_seen_at").alias("__first"), F.col("updated_at").alias("__updated")
-    )
-    joined = matched.join(old, "__old", "left")
-    action = (
-        F.when(F.col("__old").isNull(), "inserted").when(F.col("payload_hash") == F.col("__old_hash"), "unchanged").otherwise("updated")
+    found = match_state(last, state).groupBy("job_key").agg(
+        F.max(F.struct("__at", "__old", "__old_hash")).alias("__m"), F.collect_set("__old").alias("__replaced"), F.min("__first").alias("__first")
     )
+    joined = last.join(found, "job_key", "left").withColumn("__old", F.col("__m.__old"))
+    same = F.col("payload_hash") == F.col("__m.__old_hash")
+    action = F.when(F.col("__old").isNull(), "inserted").when(same, "unchanged").otherwise("updated")
     # Of incoming rows that mean one stored row the last one replaces it.
     keyed = joined.withColumn("action", action).withColumn("__slot", F.coalesce("__old", F.concat(F.lit("\u001f"), "job_key")))
-    return first_per_key(keyed, F.col("__slot"), [F.desc("__ordinal"), F.col("job_key")]).drop("__slot")
+    return first_per_key(keyed, F.col("__slot"), [F.desc("__ordinal"), F.col("job_key")]).drop("__slot", "__m")
 
 
-def apply_actions(actions: DataFrame, state: DataFrame, as_of: Column) -> DataFrame:
-    """The new state after ``upsert_actions``.  ``first_seen_at`` is kept, ``last_seen_at`` is
-    ``as_of``, an unchanged row keeps its ``updated_at``."""
+def changes(actions: DataFrame, state: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
+    """What ``actions`` do to a state: rows to add, and keys of rows to drop before.
+
+    An updated row takes the place of every stored row that it means and keeps their earliest
+    ``first_seen_at``.  An unchanged row is only a sighting: the stored row keeps its key, values
+    and ``updated_at`` and gets the new ``last_seen_at`` and ``secondary_key``; if another incoming
+    row replaces it, it is gone."""
     at = as_of.cast("string")
-    fresh = actions.withColumns({
-        "first_seen_at": F.coalesce("__first", at), "last_seen_at": at,
-        "updated_at": F.when(F.col("action") == "unchanged", F.col("__updated")).otherwise(at),
-    })
-    replaced = actions.where(F.col("__old").isNotNull()).select(F.col("__old").alias("job_key"))
-    return state.join(replaced, "job_key", "left_anti").unionByName(fresh.select(*state.columns))
+    fresh = actions.where("action <> 'unchanged'").withColumns({"first_seen_at": F.coalesce("__first", at), "last_seen_at": at, "updated_at": at})
+    replaced = actions.where("action = 'updated'").select(F.explode("__replaced").alias("job_key")).distinct()
+    seen = actions.where("action = 'unchanged'").select(F.col("__old").alias("job_key"), F.col("secondary_key").alias("__second"))
+    seen = seen.join(replaced, "job_key", "left_anti")
+    touched = state.join(seen, "job_key").withColumns({"last_seen_at": at, "secondary_key": F.col("__second")})
+    return fresh.select(*state.columns).unionByName(touched.select(*state.columns)), replaced.unionByName(seen.select("job_key"))
+
+
+def apply_actions(actions: DataFrame, state: DataFrame, as_of: Column) -> DataFrame:
+    """The new state after ``upsert_actions``."""
+    fresh, gone = changes(actions, state, as_of)
+    return state.join(gone, "job_key", "left_anti").unionByName(fresh)
 
 
 def upsert(batch: DataFrame, state: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
@@ -108,9 +177,10 @@ def upsert(batch: DataFrame, state: DataFrame, as_of: Column) -> tuple[DataFrame
 
 
 def compact(state: DataFrame) -> DataFrame:
-    """One row per posting: the newest by update, publication and storage date, then by hash."""
+    """One row per posting: the newest by update, publication and storage date, then by hash, then by
+    key and, of equal rows, the last seen."""
     order = [F.coalesce(c, F.lit("")) for c in ("update_date", "publication_date", "updated_at", "payload_hash")]
-    return latest_two_pass(state, F.col("job_key"), F.col("secondary_key"), order, F.coalesce("payload_hash", F.lit("")))
+    return latest_two_pass(state, F.col("job_key"), F.col("secondary_key"), order, F.struct("job_key", *[c for c in ("last_seen_at", "first_seen_at", "row_id") if c in state.columns]))
 
 
 def upsert_pairs(batch: DataFrame, state: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:

@@ -12,25 +12,12 @@ from rowloom.functions.dates import in_window
 from rowloom.operators import analytics, catalog, mapping, pairing, select, state, vectors
 from rowloom.operators.quantities import normalise_pay
 from rowloom.operators.timestamps import TARGET_FORM, normalise_timestamps
-from rowloom.session import table
+from rowloom.plans.registry import QUERIES, SQL, query
+from rowloom.session import cut_lineage, table
 from rowloom.sources import html
 from rowloom.sources.tables import keyed_degrees
 from rowloom.streaming import cycles
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return add
-
-
 @query("p3_timestamps")
 def p3_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every written timestamp with its UTC form, its status and the posterior of the reading."""
@@ -195,7 +182,7 @@ def q_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("payload_hash")
+@query("payload_hash", "SELECT row_id, payload_hash AS content_hash FROM jobs")
 def q_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rowloom.sources.records import JOB_COLUMNS
 
@@ -346,13 +333,71 @@ def q_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row_id", F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("rule"))
 
 
-@query("job_degree_mapping")
+def _mentions_sql(col: str, words: list[str]) -> str:
+    return f"({col} <> '' AND (" + " OR ".join(f"contains({col}, '{w}')" for w in words) + "))"
+
+
+def _rule_sql(name: str, scope: str, words: list[str]) -> str:
+    teaching = f" AND NOT {_mentions_sql('t', mapping.TEACHING)}" if name in mapping.NOT_FOR_TEACHING else ""
+    return f"WHEN '{name}' THEN {_mentions_sql('t' if scope == 'title' else 'a', words)}{teaching}"
+
+
+def _values_sql(k: int) -> str:
+    return ", ".join(f"('{r[0]}', {norm_sql(repr(x))})" for r in mapping.RULES for x in r[k])
+
+
+def _shares_sql(name: str, jobs: str, catalogue: str) -> str:
+    """CTEs for the share of a catalogue text's tokens that match a token of a posting's text."""
+    words = f"unnest(string_split({{0}}, ' ')) AS u(w) WHERE w <> '' AND w NOT IN {SQL_STOP}"
+    return f"""{name}_j AS (SELECT DISTINCT text_id, substr(w, 1, 5) AS k FROM j, {words.format(jobs)}),
+        {name}_c AS (SELECT title_norm, substr(w, 1, 5) AS k FROM c, {words.format(catalogue)}),
+        {name}_n AS (SELECT title_norm, count(*) AS n FROM {name}_c GROUP BY ALL),
+        {name} AS (SELECT text_id, title_norm, sum(times) / any_value(n) AS s FROM {name}_j
+                   JOIN (SELECT title_norm, k, count(*) AS times FROM {name}_c GROUP BY ALL) USING (k) JOIN {name}_n USING (title_norm) GROUP BY ALL)"""
+
+
+_MAPPING_SQL = f"""
+    WITH g AS (SELECT sha256(concat_ws(chr(31), coalesce(title, ''), coalesce(description, ''))) AS text_id, min(title) AS title,
+                      min(description) AS description, count(*) AS n_rows FROM jobs GROUP BY 1),
+    j AS (SELECT text_id, n_rows, {norm_sql("coalesce(title, '')")} AS t, {norm_sql("concat_ws(' ', title, description)")} AS a FROM g),
+    hit AS (SELECT text_id, rule FROM j, (VALUES {", ".join(f"('{r[0]}')" for r in mapping.RULES)}) AS r(rule)
+            WHERE CASE rule {" ".join(_rule_sql(n, s, kw) for n, s, kw, _, _ in mapping.RULES)} END),
+    hint AS (SELECT DISTINCT text_id, title_norm FROM hit JOIN (VALUES {_values_sql(4)}) AS v(rule, title_norm) USING (rule)),
+    hint_branch AS (SELECT DISTINCT text_id, branch_norm FROM hit JOIN (VALUES {_values_sql(3)}) AS v(rule, branch_norm) USING (rule)),
+    electric AS (SELECT text_id FROM (SELECT text_id, concat_ws(' ', t, a) AS ta FROM j) WHERE {_mentions_sql("ta", mapping.ELECTRIC)}),
+    c0 AS (SELECT row_id, {SQL_CLEAN.format("title")} AS title, {SQL_CLEAN.format("branch")} AS branch, {norm_sql(SQL_CLEAN.format("description"))} AS dn FROM degrees),
+    c1 AS (SELECT row_id, title, dn, {norm_sql("title")} AS tn, branch FROM c0 WHERE title IS NOT NULL),
+    c2 AS (SELECT row_id, title, dn, tn, coalesce(branch, CASE {" ".join(f"WHEN {_mentions_sql('tn', w)} THEN '{b}'" for b, w in mapping.BRANCH_WORDS.items())} END) AS branch FROM c1),
+    c AS (SELECT tn AS title_norm, arg_min(title, row_id) AS title, arg_min(branch, row_id) FILTER (WHERE branch IS NOT NULL) AS branch,
+                 arg_min(dn, row_id) FILTER (WHERE dn IS NOT NULL) AS description_norm FROM c2 GROUP BY tn),
+    {_shares_sql("ts", "t", "title_norm")}, {_shares_sql("ds", "a", "description_norm")},
+    p AS (SELECT text_id, title_norm, ts.s AS t, ds.s AS d FROM ts FULL JOIN ds USING (text_id, title_norm)),
+    q AS (SELECT text_id, title_norm, coalesce(t, 0.0::DOUBLE) AS t, coalesce(d, 0.0::DOUBLE) AS d, hint.title_norm IS NOT NULL AS h FROM p FULL JOIN hint USING (text_id, title_norm)),
+    f AS (SELECT q.text_id, c.title, c.branch, q.t, q.d, q.h, b.text_id IS NOT NULL AS hb, e.text_id IS NOT NULL AS el,
+                 coalesce({norm_sql("c.branch")}, '') <> '' AS has_b, coalesce({norm_sql("c.branch")} = '{mapping.TECHNICAL}', false) AS tech
+          FROM q JOIN c USING (title_norm) LEFT JOIN hint_branch b ON b.text_id = q.text_id AND b.branch_norm = {norm_sql("c.branch")} LEFT JOIN electric e ON e.text_id = q.text_id),
+    s AS (SELECT text_id, title, branch, el AND has_b AND NOT tech AS other,
+                 greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.7::DOUBLE * t + 0.3::DOUBLE * d
+                 + (CASE WHEN h THEN 0.15::DOUBLE ELSE 0.0 END + CASE WHEN has_b AND hb THEN 0.10::DOUBLE ELSE 0.0 END + CASE WHEN el AND tech THEN 0.15::DOUBLE ELSE 0.0 END)
+                 - CASE WHEN el AND has_b AND NOT tech THEN 0.30::DOUBLE ELSE 0.0 END)) AS score FROM f),
+    r AS (SELECT *, row_number() OVER (PARTITION BY text_id ORDER BY score DESC, title) AS rn, max(score) OVER (PARTITION BY text_id) AS best
+          FROM s WHERE score >= 0.28::DOUBLE AND NOT (other AND score < 0.65::DOUBLE)),
+    k AS (SELECT * FROM r WHERE rn <= 5 AND score >= best - 0.1::DOUBLE),
+    titles AS (SELECT text_id, string_agg(title, '|' ORDER BY rn) AS target_degree_titles, round(max(score), 9) AS best_score, count(*) AS n_kept FROM k GROUP BY text_id),
+    branches AS (SELECT text_id, nullif(string_agg(branch, '|' ORDER BY rn), '') AS target_degree_branches
+                 FROM (SELECT text_id, branch, min(rn) AS rn FROM k WHERE branch IS NOT NULL GROUP BY ALL) GROUP BY text_id)
+    SELECT text_id, target_degree_titles, best_score, coalesce(n_kept, 0) AS n_kept, target_degree_branches,
+           CASE WHEN target_degree_titles IS NULL THEN 'no_match' ELSE 'matched' END AS degree_match_status, n_rows
+    FROM j LEFT JOIN titles USING (text_id) LEFT JOIN branches USING (text_id)"""
+
+
+@query("job_degree_mapping", _MAPPING_SQL)
 def q_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per distinct posting text the selected degrees; tested against a plain version in tests."""
+    """Per distinct posting text the selected degrees."""
     jobs = table(spark, sf_dir, "jobs").select("title", "description")
     # Repeated postings have one text; it is scored once and joined back by its hash.
     rows = jobs.withColumn("text_id", F.sha2(F.concat_ws("\u001f", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))), 256))
-    rows = rows.groupBy("text_id").agg(F.min("title").alias("title"), F.min("description").alias("description"), F.count("*").alias("n_rows"))
+    rows = cut_lineage(rows.groupBy("text_id").agg(F.min("title").alias("title"), F.min("description").alias("description"), F.count("*").alias("n_rows")))
     degrees = table(spark, sf_dir, "degrees").select("row_id", "title", "branch", "description")
     found = mapping.map_degrees(rows, degrees, "text_id", "row_id").withColumn("best_score", F.round("best_score", 9))
     return found.join(rows.select("text_id", "n_rows"), "text_id")
@@ -371,7 +416,44 @@ def _class_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return out[0], out[1]
 
 
-@query("candidate_pair_classes")
+_ASCII = "trim(regexp_replace(lower(regexp_replace(strip_accents(coalesce({0}, '')), '[^\\x00-\\x7F]+', '', 'g')), '[^a-z0-9]+', ' ', 'g'))"
+_NAME_END = f"trim(regexp_replace(regexp_replace({{0}}, '(?:{pairing.TAIL}).*$', ''), ' +', ' ', 'g'))"
+
+
+def _families_sql(col: str) -> str:
+    norm = _ASCII.format(col)
+    single = _NAME_END.format(f"regexp_extract({norm}, '\\bgrado en ([a-z0-9 ]+)', 1)")
+    double = _NAME_END.format(f"regexp_extract({norm}, '\\bdoble grado en ([a-z0-9 ]+)', 1)")
+    parts = f"list_transform(string_split_regex({double}, '\\by\\b'), lambda p: trim(p))"
+    return f"list_distinct(list_filter(list_concat([{single}], {parts}), lambda k: k <> ''))"
+
+
+def _list_sql(col: str) -> str:
+    return f"list_distinct(list_filter(list_transform(string_split({col}, '|'), lambda x: trim(x)), lambda x: x <> ''))"
+
+
+_GATE = "length(trim(coalesce(nullif(description, ''), title, ''))) >= 40"
+_CLASSES_SQL = f"""jr AS (SELECT row_id, coalesce(target_degree_titles, '') AS tt, coalesce(target_degree_branches, '') AS tb FROM jobs WHERE degree_match_status = 'matched' AND {_GATE}),
+    dr AS (SELECT row_id, coalesce(title, '') AS title, coalesce(branch, '') AS branch FROM degrees WHERE {_GATE}),
+    jm AS (SELECT row_id, sha256(concat_ws(chr(31), tt, tb, 'matched')) AS job_key, tt, tb FROM jr),
+    dm AS (SELECT row_id, sha256(concat_ws(chr(31), title, branch)) AS degree_key, title, branch FROM dr)"""
+
+
+@query(
+    "candidate_pair_classes",
+    f"""WITH {_CLASSES_SQL}, jc AS (SELECT job_key, tt, tb, count(*) AS n_jobs FROM jm GROUP BY ALL),
+        dc AS (SELECT degree_key, title, branch, {_families_sql("title")} AS families, count(*) AS n_degrees FROM dm GROUP BY ALL),
+        w AS (SELECT job_key, unnest({_list_sql("tt")}) AS target FROM jc),
+        wf AS (SELECT DISTINCT job_key, unnest({_families_sql("target")}) AS family FROM w),
+        df AS (SELECT degree_key, unnest(families) AS family FROM dc),
+        fam AS (SELECT job_key, list(family) AS wanted FROM wf GROUP BY job_key),
+        br AS (SELECT job_key, unnest({_list_sql("tb")}) AS branch FROM jc),
+        p AS (SELECT job_key, degree_key FROM w JOIN dc ON w.target = dc.title
+              UNION SELECT job_key, degree_key FROM wf JOIN df USING (family)
+              UNION SELECT br.job_key, degree_key FROM br JOIN dc USING (branch) LEFT JOIN fam ON fam.job_key = br.job_key
+                    WHERE fam.wanted IS NULL OR list_has_any(fam.wanted, dc.families))
+        SELECT job_key, degree_key, n_jobs, n_degrees FROM p JOIN jc USING (job_key) JOIN dc USING (degree_key)""",
+)
 def q_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate pairs between classes, with the number of members on both sides; the members are
     the rows of ``candidate_pair_members``, and every member of one side pairs with every one of the other."""
@@ -384,7 +466,10 @@ def q_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.join(job_class.select("job_key", "n_jobs"), "job_key").join(degrees.select("degree_key", "n_degrees"), "degree_key")
 
 
-@query("candidate_pair_members")
+@query(
+    "candidate_pair_members",
+    f"""WITH {_CLASSES_SQL} SELECT 'jobs' AS tbl, row_id, job_key AS class_key FROM jm UNION ALL SELECT 'degrees', row_id, degree_key FROM dm""",
+)
 def q_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of each row that takes part in ``candidate_pair_classes``."""
     jobs, degrees = _class_rows(spark, sf_dir)
@@ -506,9 +591,30 @@ def q_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("total", "described", F.round("ratio", 9).alias("ratio"))
 
 
-@query("quality_gate")
+_PATH = "regexp_extract(source_url, '^(?:[A-Za-z][A-Za-z0-9_+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
+
+
+def _told_type(norm: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({norm}, '{'|'.join(w)}') THEN '{k}'" for k, w in html.TYPE_WORDS.items()) + " END"
+
+
+@query(
+    "quality_gate",
+    f"""WITH x AS (SELECT row_id, title, source_url, university_id, coalesce({_MATCH.format('title')}, '') AS n, title_type,
+            lower(regexp_replace({_PATH}, '/+$', '')) AS path FROM degrees),
+        y AS (SELECT *, coalesce(title_type, {_told_type('n')}) AS kind FROM x),
+        z AS (SELECT *, length(n) >= 8 AND n NOT IN ({", ".join(repr(t) for t in html.GENERAL_TITLES)})
+                AND NOT ({" OR ".join(f"contains(n, {repr(w) if chr(39) not in w else chr(39) + w.replace(chr(39), chr(39) * 2) + chr(39)})" for w in html.NOT_TITLES)})
+                AND coalesce({" OR ".join(f"(kind = '{k}' AND regexp_matches(title, '{f}', 'i'))" for k, f in html.TYPE_FORMS.items())}, false) AS good_title,
+                NOT regexp_matches(source_url, '^(mailto|tel):', 'i') AND path <> '' AND NOT regexp_matches(path, '{"|".join(html.NOT_PATHS)}') AND NOT ends_with(path, '.pdf') AS good_url FROM y),
+        r AS (SELECT row_id, title, source_url, CASE WHEN length(trim(coalesce(title, ''))) = 0 THEN 'missing_title'
+                WHEN length(trim(coalesce(source_url, ''))) = 0 THEN 'missing_url' WHEN length(trim(coalesce(university_id, ''))) = 0 THEN 'missing_university'
+                WHEN NOT coalesce(good_title, false) THEN 'invalid_title' WHEN NOT coalesce(good_url, false) THEN 'invalid_url' END AS reason FROM z)
+        SELECT * FROM r WHERE reason IS NOT NULL""",
+)
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    degrees = catalog.attach_registry(table(spark, sf_dir, "degrees"), table(spark, sf_dir, "universities"))
+    """Degrees as they come, before the registry fills in the universities."""
+    degrees = table(spark, sf_dir, "degrees")
     title, url = html.is_programme_title(F.col("title"), F.col("title_type")), html.is_programme_url(F.col("source_url"))
     return catalog.blocked_records(degrees, title, url).select("row_id", "title", "source_url", "reason")
 
@@ -645,45 +751,104 @@ def q_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- state -----------------------------------------------------------------------------------------
 
 #: Rows last seen before this are the stored state, later ones arrive as a batch.
-SPLIT = "2024-02-01"
+SPLIT = "2025-03-01"
+#: When the batch arrives.
+NOW = "2026-07-01T00:00:00+00:00"
+_STATE_COLUMNS = ["row_id", "job_key", "secondary_key", "payload_hash", "update_date", "publication_date", "first_seen_at", "last_seen_at", "updated_at"]
 
 
 def _state_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    cols = ["row_id", "job_key", "secondary_key", "payload_hash", "update_date", "publication_date", "first_seen_at", "last_seen_at", "updated_at"]
-    jobs = table(spark, sf_dir, "jobs").select(*cols)
+    jobs = table(spark, sf_dir, "jobs").select(*_STATE_COLUMNS)
     stored = state.compact(jobs.where(F.col("last_seen_at") < SPLIT))
     batch = jobs.where(F.col("last_seen_at") >= SPLIT).withColumn("__ordinal", F.concat_ws("|", "last_seen_at", F.lpad(F.col("row_id").cast("string"), 20, "0")))
     return stored, batch
 
 
-@query("upsert_actions")
+_BY_DATE = "coalesce(update_date,'') DESC, coalesce(publication_date,'') DESC, coalesce(updated_at,'') DESC, coalesce(payload_hash,'') DESC, job_key DESC"
+
+
+def _compact_sql(source: str) -> str:
+    return f"""(SELECT * FROM (SELECT * FROM {source} WHERE job_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY {_BY_DATE}, last_seen_at DESC, first_seen_at DESC, row_id DESC) = 1)
+        QUALIFY row_number() OVER (PARTITION BY coalesce(secondary_key, chr(31) || job_key) ORDER BY {_BY_DATE}) = 1)"""
+
+
+_UPSERT_SQL = f"""st AS {_compact_sql(f"(SELECT * FROM jobs WHERE last_seen_at < '{SPLIT}')")},
+    b0 AS (SELECT *, last_seen_at || '|' || lpad(CAST(row_id AS VARCHAR), 20, '0') AS o FROM jobs WHERE last_seen_at >= '{SPLIT}' AND job_key IS NOT NULL),
+    b1 AS (SELECT * FROM b0 QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY o DESC) = 1),
+    b AS (SELECT * FROM b1 QUALIFY row_number() OVER (PARTITION BY coalesce(secondary_key, chr(31) || job_key) ORDER BY o DESC) = 1),
+    m AS (SELECT b.row_id, st.job_key AS old, st.updated_at AS upd, st.first_seen_at AS fst, st.payload_hash AS h FROM b JOIN st ON b.job_key = st.job_key
+          UNION SELECT b.row_id, st.job_key, st.updated_at, st.first_seen_at, st.payload_hash FROM b JOIN st ON b.secondary_key = st.secondary_key),
+    best AS (SELECT row_id, old, h FROM m QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY upd DESC, old DESC) = 1),
+    firsts AS (SELECT row_id, min(fst) AS fst FROM m GROUP BY row_id),
+    act AS (SELECT b.*, best.old, firsts.fst, CASE WHEN best.old IS NULL THEN 'inserted' WHEN b.payload_hash = best.h THEN 'unchanged' ELSE 'updated' END AS action
+            FROM b LEFT JOIN best USING (row_id) LEFT JOIN firsts USING (row_id)
+            QUALIFY row_number() OVER (PARTITION BY coalesce(best.old, chr(31) || b.job_key) ORDER BY o DESC, b.job_key) = 1)"""
+
+
+@query("upsert_actions", f"WITH {_UPSERT_SQL} SELECT row_id, job_key, action FROM act")
 def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, batch = _state_and_batch(spark, sf_dir)
     return state.upsert_actions(batch, stored).select("row_id", "job_key", "action")
 
 
+@query(
+    "upsert_state",
+    f"""WITH {_UPSERT_SQL}, gone AS (SELECT DISTINCT m.old AS job_key FROM m JOIN act USING (row_id) WHERE action = 'updated'),
+        seen AS (SELECT old AS job_key, secondary_key AS sec FROM act WHERE action = 'unchanged' AND old NOT IN (SELECT job_key FROM gone))
+        SELECT row_id, job_key, secondary_key, payload_hash, first_seen_at, last_seen_at, updated_at FROM st
+        WHERE job_key NOT IN (SELECT job_key FROM gone) AND job_key NOT IN (SELECT job_key FROM seen)
+        UNION ALL SELECT row_id, st.job_key, seen.sec, payload_hash, first_seen_at, '{NOW}', updated_at FROM st JOIN seen USING (job_key)
+        UNION ALL SELECT row_id, job_key, secondary_key, payload_hash, coalesce(fst, '{NOW}'), '{NOW}', '{NOW}' FROM act WHERE action <> 'unchanged'""",
+)
+def q_upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole state after the batch."""
+    stored, batch = (cut_lineage(x) for x in _state_and_batch(spark, sf_dir))
+    new = state.apply_actions(cut_lineage(state.upsert_actions(batch, stored)), stored, F.lit(NOW))
+    return new.select("row_id", "job_key", "secondary_key", "payload_hash", "first_seen_at", "last_seen_at", "updated_at")
+
+
 @query(
     "compaction",
-    f"""WITH j AS (SELECT * FROM jobs),
-        one AS (SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY coalesce(update_date,'') DESC, coalesce(publication_date,'') DESC, coalesce(updated_at,'') DESC, coalesce(payload_hash,'') DESC) = 1),
-        two AS (SELECT * FROM one QUALIFY row_number() OVER (PARTITION BY coalesce(secondary_key, chr(31) || job_key) ORDER BY coalesce(update_date,'') DESC, coalesce(publication_date,'') DESC, coalesce(updated_at,'') DESC, coalesce(payload_hash,'') DESC) = 1)
-        SELECT source, count(*) AS n FROM two GROUP BY source""",
+    f"SELECT job_key, secondary_key, payload_hash, update_date, publication_date, updated_at FROM {_compact_sql('jobs')}",
 )
 def q_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = table(spark, sf_dir, "jobs").select("job_key", "secondary_key", "source", "update_date", "publication_date", "updated_at", "payload_hash")
-    return state.compact(jobs).groupBy("source").agg(F.count("*").alias("n"))
+    columns = ["job_key", "secondary_key", "payload_hash", "update_date", "publication_date", "updated_at"]
+    return state.compact(table(spark, sf_dir, "jobs").where("job_key is not null").select(*columns))
+
+
+#: Pairs written since then are kept, older ones of the same provider and model are stale.
+PAIRS_SINCE = "2025-09-01"
+_SCOPE_SQL = "provider = (SELECT min(provider) FROM program_job_similarity) AND model = (SELECT min(model) FROM program_job_similarity)"
 
 
 @query(
     "stale_pairs",
-    """SELECT DISTINCT pair_key FROM program_job_similarity s WHERE provider = (SELECT min(provider) FROM program_job_similarity) AND model = (SELECT min(model) FROM program_job_similarity)
-       AND NOT EXISTS (SELECT 1 FROM program_job_similarity k WHERE k.pair_key = s.pair_key AND k.updated_at >= '2024-03-01')""",
+    f"""SELECT pair_key, count(*) AS n FROM program_job_similarity s WHERE {_SCOPE_SQL}
+        AND NOT EXISTS (SELECT 1 FROM program_job_similarity k WHERE k.pair_key = s.pair_key AND k.updated_at >= '{PAIRS_SINCE}') GROUP BY pair_key""",
 )
 def q_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = table(spark, sf_dir, "program_job_similarity").select("pair_key", "provider", "model", "updated_at")
     first = pairs.agg(F.min("provider"), F.min("model")).first()
-    keep = pairs.where(F.col("updated_at") >= "2024-03-01").select("pair_key")
-    return state.stale_pairs(pairs, keep, first[0], first[1]).select("pair_key").distinct()
+    keep = pairs.where(F.col("updated_at") >= PAIRS_SINCE).select("pair_key")
+    return state.stale_pairs(pairs, keep, first[0], first[1]).groupBy("pair_key").agg(F.count("*").alias("n"))
+
+
+@query(
+    "upsert_pairs",
+    f"""WITH p AS (SELECT * FROM program_job_similarity WHERE pair_key IS NOT NULL),
+        old AS (SELECT pair_key, min(created_at) AS created_at, max(updated_at) AS updated_at, max(score) FILTER (WHERE NOT isnan(score)) AS score FROM p WHERE updated_at < '{PAIRS_SINCE}' GROUP BY pair_key),
+        new AS (SELECT pair_key, max(score) FILTER (WHERE NOT isnan(score)) AS score FROM p WHERE updated_at >= '{PAIRS_SINCE}' GROUP BY pair_key)
+        SELECT pair_key, score, created_at, updated_at FROM old WHERE pair_key NOT IN (SELECT pair_key FROM new)
+        UNION ALL SELECT pair_key, new.score, coalesce(old.created_at, '{NOW}'), '{NOW}' FROM new LEFT JOIN old USING (pair_key)""",
+)
+def q_upsert_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs written since a day merged into those written before."""
+    pairs = table(spark, sf_dir, "program_job_similarity").where("pair_key is not null")
+    pairs = pairs.withColumn("score", F.when(~F.isnan("score"), F.col("score")))
+    columns = [F.max("score").alias("score"), F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"), F.max("degree_key").alias("degree_key")]
+    old = pairs.where(F.col("updated_at") < PAIRS_SINCE).groupBy("pair_key").agg(*columns)
+    new = pairs.where(F.col("updated_at") >= PAIRS_SINCE).select("pair_key", "score", "degree_key")
+    return state.upsert_pairs(new, old, F.lit(NOW))[0].select("pair_key", "score", "created_at", "updated_at")
 
 
 # --- streams ---------------------------------------------------------------------------------------
@@ -730,8 +895,12 @@ def q_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from rowloom.plans import function_queries  # noqa: F401 registers its queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from rowloom.plans import function_queries  # noqa: F401
+
     return dict(SQL)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -31,20 +34,30 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "rowloom") -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
+    """The folder all executors share: what ``spark.checkpoint.dir`` names, else what the context's
+    checkpoint folder is.
 
-    Only where that setting is absent (a local test) a temporary folder is used.
+    A temporary folder of this machine, deleted at exit, serves only where the session itself is
+    local; on a cluster the lack of a shared folder is an error.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    conf = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if conf:
         return conf
+    if not re.match(r"local($|\[)", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = getattr(shared_dir, "own", None)
     if own is None:
         own = tempfile.mkdtemp(prefix="rowloom-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
         shared_dir.own = own
     return own
 
 
+#: Tables that ``cut_lineage`` wrote and ``clear_lineage`` has not deleted.
+_written: list[str] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written rows.
 
@@ -54,9 +67,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/rowloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_lineage(spark: SparkSession) -> int:
+    """Delete the tables that ``cut_lineage`` wrote, once the results that read them are stored."""
+    jvm, n = spark._jvm, len(_written)
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

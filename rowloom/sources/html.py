@@ -335,7 +335,7 @@ def is_programme_title(title: Column, kind: Column) -> Column:
     form = F.lit(False)
     wanted = F.coalesce(kind, title_type(title))
     for name, pattern in TYPE_FORMS.items():
-        form = form | ((wanted == name) & title.rlike(f"(?i){pattern}"))
+        form = form | ((wanted == name) & title.rlike(f"(?iu){pattern}"))
     banned = F.lit(False)
     for word in NOT_TITLES:
         banned = banned | norm.contains(word)

@@ -1,8 +1,9 @@
 """Postings as a stream: every micro-batch is one cycle of the upsert.
 
 The checkpoint of the query gives what a lock file would: one writer, and a cycle that is
-repeated after a failure.  Because a version of the state is written in full and the upsert
-of equal rows changes nothing, repeating a cycle is harmless.
+repeated after a failure.  Because a version of the state counts only when it is complete and
+the upsert of equal rows changes nothing, repeating a cycle is harmless.  A cycle reads the keys
+of the stored rows and writes the buckets that it changes.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowloom.functions.dates import in_window
 from rowloom.functions.keys import payload_hash, secondary_key, storage_key
-from rowloom.operators.state import StateTable, apply_actions, upsert_actions
+from rowloom.operators.state import StateTable, changes, upsert_actions
 from rowloom.session import cut_lineage
 from rowloom.sources.records import JOB_COLUMNS, clean_records
 
@@ -36,7 +37,7 @@ def rejected(records: DataFrame) -> DataFrame:
 
 
 def run_cycle(batch: DataFrame, state: StateTable, as_of: str | None = None, clean: bool = True) -> dict[str, int]:
-    """One cycle: clean, key, upsert, write the next version; gives the counts of the actions.
+    """One cycle: clean, key, upsert, write the changed buckets; gives the counts of the actions.
     Records are cleaned once; a caller that has done so says ``clean=False``."""
     at = F.lit(as_of or datetime.now(UTC).isoformat())
     rows = cut_lineage(keyed(clean_records(batch) if clean else batch))
@@ -44,7 +45,7 @@ def run_cycle(batch: DataFrame, state: StateTable, as_of: str | None = None, cle
     actions = cut_lineage(upsert_actions(rows, stored))
     done = {r.action: r["count"] for r in actions.groupBy("action").count().collect()}
     if done:
-        state.write(apply_actions(actions, stored, at))
+        state.merge(*map(cut_lineage, changes(actions, stored, at)))
     return {k: done.get(k, 0) for k in ("inserted", "updated", "unchanged")}
 
 

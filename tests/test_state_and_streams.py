@@ -1,6 +1,7 @@
 """State tables, cycles, streams, feeds and flows."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -47,6 +48,45 @@ def test_secondary_key_and_order_in_batch(spark, tmp_path):
     assert cycles.rejected(posting(spark, {"source": None})).count() == 1
 
 
+STORED = "job_key string, secondary_key string, payload_hash string, first_seen_at string, last_seen_at string, updated_at string"
+
+
+def test_upsert_merges_all_matches(spark, tmp_path):
+    """Both stored rows that an incoming row means make place for it; a row seen again is only touched."""
+    stored = [("k1", None, "h1", "t0", "t1", "t1"), ("k2", "s", "h2", "t1", "t2", "t2"), ("k3", "u", "h3", "t0", "t0", "t0"), ("k4", None, "h4", "t0", "t0", "t0")]
+    old = spark.createDataFrame(stored, STORED)
+    batch = spark.createDataFrame([("k1", "s", "h9", "1"), ("k9", "u", "h3", "2"), ("k5", None, "h5", "3"), (None, "s", "h", "4")], "job_key string, secondary_key string, payload_hash string, __ordinal string")
+    new, counts = state.upsert(batch, old, F.lit("t5"))
+    wanted = [("k1", "s", "h9", "t0", "t5", "t5"), ("k3", "u", "h3", "t0", "t5", "t0"), ("k4", None, "h4", "t0", "t0", "t0"), ("k5", None, "h5", "t5", "t5", "t5")]
+    assert sorted(map(tuple, new.collect())) == wanted and {r.action: r.n for r in counts.collect()} == {"updated": 1, "unchanged": 1, "inserted": 1}
+    table = state.StateTable(spark, str(tmp_path / "s"), STORED, buckets=5)
+    table.write(old)
+    table.merge(*state.changes(state.upsert_actions(batch, table.read()), table.read(), F.lit("t5")))
+    assert sorted(map(tuple, table.read().collect())) == wanted
+    assert new.groupBy("job_key").count().where("count > 1").isEmpty()
+
+
+def test_sighting_of_a_replaced_row(spark):
+    """k2 is both replaced (by the row with its key) and seen again (by secondary key): no key comes twice."""
+    old = spark.createDataFrame([("k1", "s1", "h1", "t0", "t3", "t3"), ("k2", "s2", "h2", "t1", "t1", "t1")], STORED)
+    batch = spark.createDataFrame([("k2", "s1", "h7", "1"), ("k3", "s2", "h2", "2")], "job_key string, secondary_key string, payload_hash string, __ordinal string")
+    new = state.upsert(batch, old, F.lit("t5"))[0]
+    assert sorted(map(tuple, new.collect())) == [("k2", "s1", "h7", "t0", "t5", "t5")]
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    table = state.StateTable(spark, str(tmp_path / "s"), STORED, buckets=16)
+    rows = [(f"k{k}", None, "h", "t", "t", "t") for k in range(200)]
+    table.write(spark.createDataFrame(rows, STORED))
+    before = table._manifest(1)["folders"]
+    table.merge(spark.createDataFrame([("k7", None, "h2", "t", "u", "u")], STORED), spark.createDataFrame([("k7",)], "job_key string"))
+    after = table._manifest(2)["folders"]
+    assert len([b for b in after if after[b] != before.get(b)]) == 1 and table.read().count() == 200
+    assert [r.payload_hash for r in table.read().where("job_key = 'k7'").collect()] == ["h2"]
+    table.forget(1)
+    assert table.versions() == [2] and table.read().count() == 200
+
+
 def test_compact(spark):
     rows = [("a", "s", "2024-02-01"), ("a", "s", "2024-03-01"), ("b", "s", "2024-01-01"), ("c", None, None)]
     df = spark.createDataFrame([(k, s, u, None, u, "h") for k, s, u in rows], "job_key string, secondary_key string, update_date string, publication_date string, updated_at string, payload_hash string")
@@ -74,6 +114,7 @@ def test_stream_of_files_is_the_batch(spark, tmp_path):
     for k in range(3):
         rows = [{"source": "x", "title": f"t{k}", "source_url": f"http://a/{j}", "scraped_at": str(k)} for j in range(k + 2)]
         (landing / f"{k}.json").write_text("\n".join(map(json.dumps, rows)))
+        os.utime(landing / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))
     table = StateTable(spark, str(tmp_path / "jobs"), records.STATE_SCHEMA)
     schema = ", ".join(f"{c} string" for c in records.JOB_COLUMNS)
     calls = []

@@ -10,7 +10,7 @@ import sys
 class Blocked:
     def find_spec(self, name, path=None, target=None):
         if name.startswith("rowloom.llm"):
-            raise ImportError(name)
+            raise ModuleNotFoundError(name, name=name)
 sys.meta_path.insert(0, Blocked())
 import __spark_entry__ as e
 names = set(e.queries())
@@ -23,6 +23,12 @@ def test_import_without_the_subpackage():
     subprocess.run([sys.executable, "-c", BLOCK], cwd=ROOT, check=True, timeout=120)
 
 
+def test_foreign_import_errors_are_raised():
+    block = BLOCK.replace('name.startswith("rowloom.llm")', 'name == "pandas"').split("import __spark_entry__")[0]
+    done = subprocess.run([sys.executable, "-c", block + "import __spark_entry__"], cwd=ROOT, capture_output=True, timeout=120)
+    assert done.returncode
+
+
 def test_nothing_outside_imports_it():
     for folder, _, files in os.walk(os.path.join(ROOT, "rowloom")):
         if os.sep + "llm" in folder:
