@@ -565,7 +565,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     met = met.groupBy("__n", "part", "text_id").agg(F.count("*").alias("hits"), F.first("need").alias("need"))
     met = met.where("hits >= need").select("__n", "part", "text_id")
     facts = facts.withColumnRenamed("words", "item_words")
-    pairs = met.join(parts.drop("keys"), ["__n", "part"]).join(facts, "text_id")
+    # The steps in Python cost more than their bytes tell, so they are not merged into few tasks; the
+    # pairs are spread before the words of the parts are joined to them, so each part moves once.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = met.repartition(tasks, "__n", "part").join(parts.drop("keys"), ["__n", "part"]).join(facts, "text_id")
 
     def items_in(b: pd.DataFrame) -> dict[int, Item]:
         some = b.drop_duplicates("text_id")
@@ -590,9 +593,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
                 yield pd.concat(out, ignore_index=True)
 
     pairs = pairs.withColumnsRenamed({"__id": "doc", "__n": "n"}).select("doc", "n", "text_id", "words", "item_words", "shared", "df", "common_words")
-    # The steps in Python cost more than their bytes tell, so they are not merged into few tasks.
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts_with = pairs.repartition(tasks, "n", "text_id").mapInPandas(
+    parts_with = pairs.mapInPandas(
         contain, f"doc {kinds[0]}, n bigint, text_id bigint, same int, share double, best int, both int, need int, regions array<binary>"
     )
     # An altered leak has the shingles in one passage or in two, which may be in different parts.
