@@ -21,16 +21,24 @@ from rowloom.operators.joins import join_dimension
 
 
 class Unit(NamedTuple):
-    """A scale to canonical units and exponents over (money, time)."""
+    """A scale to canonical units, exponents over (money, time), and what is added after scaling
+    (as a temperature scale needs; of composed units only one may have an offset)."""
 
     scale: Decimal
     dims: tuple[int, int]
+    offset: Decimal = Decimal(0)
 
     def times(self, other: Unit) -> Unit:
-        return Unit(self.scale * other.scale, (self.dims[0] + other.dims[0], self.dims[1] + other.dims[1]))
+        dims = (self.dims[0] + other.dims[0], self.dims[1] + other.dims[1])
+        return Unit(self.scale * other.scale, dims, self.offset * other.scale + other.offset * self.scale)
+
+    def canonical(self, value: Decimal) -> Decimal:
+        return value * self.scale + self.offset
 
 
 PAY = (1, -1)
+#: Exponents of the kinds of units; units of another kind measure neither money nor time.
+DIMENSIONS = {"currency": (1, 0), "period": (0, -1)}
 
 # Words of the grammar.
 PERIOD_WORDS = [
@@ -138,17 +146,20 @@ def annual_cents(
     if when not in units:  # a monthly amount paid so many times a year
         units = units | {when: Unit(Decimal(when[5:]), (0, -1))}
     unit = units[money].times(units[when])
-    assert unit.dims == PAY
-    cents = [int((x * unit.scale * 100).quantize(Decimal(1), ROUND_HALF_UP)) if x else 0 for x in bounds]
+    if unit.dims != PAY:  # a table may list units that are no money or no time
+        return None
+    cents = [int((unit.canonical(x) * 100).quantize(Decimal(1), ROUND_HALF_UP)) if x else 0 for x in bounds]
     return cents[0], cents[1]
 
 
 def unit_table(units: DataFrame, rows: int = 1000) -> dict[str, Unit]:
-    """The units as a dict; the table is fixed and small, more than ``rows`` rows are an error."""
-    found = units.select("unit", "kind", "factor").limit(rows + 1).collect()
+    """The units as a dict; a column ``offset`` is optional.  The table is fixed and small, more than
+    ``rows`` rows are an error."""
+    offset = F.col("offset") if "offset" in units.columns else F.lit(0.0)
+    found = units.select("unit", "kind", "factor", F.coalesce(offset, F.lit(0.0)).alias("o")).limit(rows + 1).collect()
     if len(found) > rows:
         raise ValueError("the table of units is larger than expected")
-    return {r.unit: Unit(Decimal(str(r.factor)), (0, -1) if r.kind == "period" else (1, 0)) for r in found}
+    return {r.unit: Unit(Decimal(str(r.factor)), DIMENSIONS.get(r.kind, (0, 0)), Decimal(str(r.o))) for r in found}
 
 
 def normalise_pay(df: DataFrame, id_col: str, units: DataFrame, sources: DataFrame) -> DataFrame:

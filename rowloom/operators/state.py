@@ -17,16 +17,22 @@ from pyspark.sql.types import StructType
 
 from rowloom.operators.select import first_per_key, latest_two_pass
 
-#: Buckets of a new state; a state keeps the number it was made with.
-BUCKETS = 64
+#: Buckets of a new state; a large one is given more.  A state keeps the number it was made with.
+BUCKETS = 32
+#: Columns that identify a row of a state.
+KEYS = ("pair_key", "cache_key", "job_key")
 
 
 class StateTable:
-    """Versions of a table under one folder, in buckets by the hash of ``key``."""
+    """Versions of a table under one folder, in buckets by the hash of ``key``.
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType | str, key: str = "job_key", buckets: int = BUCKETS) -> None:
-        self.spark, self.path, self.key, self._buckets = spark, path.rstrip("/"), key, buckets
+    Without ``key`` the first of ``KEYS`` among the columns is taken; a table that has none of them
+    is spread by the hash of its rows and can only be replaced."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType | str, key: str | None = None, buckets: int = BUCKETS) -> None:
+        self.spark, self.path, self._buckets = spark, path.rstrip("/"), buckets
         self.schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        self.key = key or next((k for k in KEYS if k in self.schema.names), None)
 
     def _fs(self):
         jvm = self.spark._jvm
@@ -78,11 +84,11 @@ class StateTable:
     def read(self) -> DataFrame:
         return self._read(list(self._current()[2].values()))
 
-    def bucket(self, key: Column, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(buckets))
+    def bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*([self.key] if self.key else self.schema.names)), F.lit(buckets))
 
     def _write(self, df: DataFrame, version: int, buckets: int) -> dict[str, str]:
-        out = df.select(*self.schema.names, self.bucket(F.col(self.key), buckets).alias("__bucket"))
+        out = df.select(*self.schema.names, self.bucket(buckets).alias("__bucket"))
         out.repartition("__bucket").write.mode("overwrite").partitionBy("__bucket").parquet(f"{self.path}/v{version}")
         return {n.split("=")[1]: f"v{version}/{n}" for n in self._names(f"v{version}") if n.startswith("__bucket=")}
 
@@ -93,9 +99,11 @@ class StateTable:
 
     def merge(self, fresh: DataFrame, gone: DataFrame) -> int:
         """Add ``fresh`` and drop the rows with a key of ``gone``; other buckets stay where they are."""
+        if self.key is None:
+            raise ValueError("a state without a key can only be replaced")
         version, buckets, folders = self._current()
         keys = fresh.select(self.key).unionByName(gone.select(self.key))
-        touched = {str(r.b) for r in keys.select(self.bucket(F.col(self.key), buckets).alias("b")).distinct().collect()}
+        touched = {str(r.b) for r in keys.select(self.bucket(buckets).alias("b")).distinct().collect()}
         kept = self._read([f for b, f in folders.items() if b in touched]).join(gone.select(self.key).distinct(), self.key, "left_anti")
         new = self._write(kept.unionByName(fresh.select(*self.schema.names)), version + 1, buckets)
         return self._publish(version + 1, buckets, {b: f for b, f in folders.items() if b not in touched} | new)

@@ -11,8 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: A side is broadcast only if it has at most this many rows (checked by counting).
+#: A side is broadcast only if it has at most so many rows and bytes (checked by counting).
 BROADCAST_ROWS = 20_000
+BROADCAST_BYTES = 32 << 20
 
 
 def local_session(cores: str = "*", partitions: int = 8, app: str = "rowloom") -> SparkSession:
