@@ -60,7 +60,7 @@ def segments(values: DataFrame) -> DataFrame:
     return rows.select("kind", "value", "seg", normal_words(part, F.col("kind")).alias("part")).where("part <> ''")
 
 
-def spans(rows: DataFrame, longest: int = 3) -> DataFrame:
+def spans(rows: DataFrame, longest: int) -> DataFrame:
     """Contract types are often the first words of a phrase: all runs of up to ``longest`` words."""
     words = F.split("part", " ")
     at = F.sequence(F.lit(1), F.size(words))
@@ -148,6 +148,7 @@ def similarity_join(texts: DataFrame, entries: DataFrame, threshold: float = THR
         )
 
     index = prefixes(forms, "s")
+    # The check looks at rows and bytes: the index repeats the tokens of a form.
     if is_small(index, 200_000):
         index = F.broadcast(index)
     met = prefixes(left, "r").join(index, ["kind", "token"])
@@ -191,11 +192,14 @@ def best_entries(values: DataFrame, canon: DataFrame) -> DataFrame:
     to the smaller id.  A segment that is rather an island or a province is no municipality.
     """
     wanted = values.select("kind", "value").where(F.col("value").isNotNull()).distinct()
-    parts = cut_lineage(spans(segments(wanted)))
+    forms = cut_lineage(reference_forms(canon))
+    # As many words as the longest form of a contract type has.
+    longest = forms.where("kind = 'contract_type'").agg(F.max(F.size(F.split("text", " ")))).first()[0] or 1
+    parts = cut_lineage(spans(segments(wanted), longest))
     texts = parts.select("kind", F.col("span").alias("text")).distinct()
-    found = similarity_join(texts, reference_forms(canon)).withColumnRenamed("text", "span")
+    found = similarity_join(texts, forms).withColumnRenamed("text", "span")
     hits = parts.join(found, ["kind", "span"])
-    first = F.when(F.col("kind") == "contract_type", -(F.col("seg") * 1000 + F.col("start"))).otherwise(F.lit(0))
+    first = F.when(F.col("kind") == "contract_type", F.struct((-F.col("seg")).alias("seg"), (-F.col("start")).alias("start")))
     covers = F.when(F.col("kind") == "contract_type", F.col("sim") * F.length("span")).otherwise(F.col("sim"))
     rank = F.struct(first.alias("first"), covers.alias("covers"), (-F.col("canon_id")).alias("id"), "sim")
     per_segment = hits.groupBy("kind", "value", "seg").agg(F.max(rank).alias("b")).where(F.col("b.id") < 0)

@@ -24,8 +24,8 @@ from rowloom.llm.sample import hash_share
 TRAIN_ROWS = 6_000
 TRAIN_CHARS = 20_000
 BITS = 17
-#: A label is taken for a language if at least this share of the labelled rows carries it.
-LANGUAGE_SHARE = 0.005
+#: A label is taken for a language if so many rows carry it: of one text nothing can be checked.
+LEAST_LABELLED = 2
 #: What a language must add to the likelihood of a document, besides half the log of its words.
 PENALTY = 4.0
 
@@ -103,8 +103,9 @@ def train_language_model(df: DataFrame, text: str, lang: str, key: str, train_ro
     the first models contradict are relabelled and the models are fitted again, twice."""
     rows = df.select(F.col(text).alias("t"), label_code(F.col(lang)).alias("l"), F.col(key).alias("k"))
     rows = rows.where((F.length("t") > 0) & F.col("l").isNotNull())
-    found = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(200).collect()}
-    names = sorted(k for k, n in found.items() if n >= LANGUAGE_SHARE * sum(found.values()))
+    found = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    # Codes have two or three letters, so there are at most some thousands of them.
+    names = sorted(k for k, n in found.items() if n >= LEAST_LABELLED)
     if not names:
         return LanguageModel(["und"], np.zeros((1 << BITS, 1)))
     # The same number of rows of each language, as far as it has so many.
@@ -130,17 +131,19 @@ def log_sum(a: np.ndarray) -> np.ndarray:
     return top[:, 0] + np.log(np.exp(a - top).sum(1))
 
 
-def proportions(like: np.ndarray, sizes: np.ndarray, chosen: list[int], rounds: int = 25) -> tuple[float, np.ndarray]:
-    """Expectation-maximisation over the proportions of the chosen languages; gives the
-    log-likelihood of the document and the proportions."""
+def proportions(like: np.ndarray, chosen: list[int], rounds: int = 200) -> tuple[float, np.ndarray]:
+    """Expectation-maximisation over the proportions of the chosen languages among the paragraphs,
+    until the log-likelihood of the document stands still; gives it and the proportions."""
     part = like[:, chosen]
-    share = np.full(len(chosen), 1 / len(chosen))
-    weight = sizes / max(1, sizes.sum())
+    share, last = np.full(len(chosen), 1 / len(chosen)), -np.inf
     for _ in range(rounds):
         joint = part + np.log(share + 1e-12)
-        post = np.exp(joint - log_sum(joint)[:, None])
-        share = (post * weight[:, None]).sum(0)
-    return float(log_sum(part + np.log(share + 1e-12)).sum()), share
+        each = log_sum(joint)
+        now = float(each.sum())
+        if now - last < 1e-6:
+            break
+        share, last = np.exp(joint - each[:, None]).mean(0), now
+    return now, share
 
 
 def languages_of(like: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +157,7 @@ def languages_of(like: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nd
     rest = set(like.argmax(1).tolist()) - set(chosen)
     penalty = PENALTY + 0.5 * np.log(sizes.sum() + 1)
     while rest:
-        tried = [(*proportions(like, sizes, [*chosen, k]), k) for k in sorted(rest)]
+        tried = [(*proportions(like, [*chosen, k]), k) for k in sorted(rest)]
         gain, new_share, k = max(tried, key=lambda x: x[0])
         if gain - now <= penalty:
             break

@@ -1,8 +1,8 @@
 """Documents of varying length placed in containers of fixed capacities.
 
 Variable-capacity best fit: items go, largest first, to the open container they fill best.  If
-none has room, the container whose capacity leaves the least room unused for what is still
-to come is opened, and at the end every container is exchanged for the smallest that holds
+none has room, a container is opened, of all capacities the one of which the items still to
+come would leave the least share unused, and at the end every container is exchanged for the smallest that holds
 its contents.  Blocks of documents are packed independently; a block holds so many tokens
 that its last containers do not matter.
 """
@@ -64,20 +64,39 @@ def count_tokens(df: DataFrame, doc_id: str, text: str, name: str = TOKENIZER, f
     return rows.mapInPandas(run, f"`{doc_id}` {kind}, n_tokens bigint")
 
 
+def unused_room(room: int, counts: list[int], present: int) -> int:
+    """What is left of ``room`` if it takes the largest of the remaining items again and again;
+    ``counts`` has the number of items of each size, ``present`` a bit for each size there is."""
+    below = present & ((1 << (room + 1)) - 1)
+    while below:
+        size = below.bit_length() - 1
+        if size == 0:
+            break
+        room -= size * min(counts[size], room // size)
+        below &= (1 << min(size, room + 1)) - 1
+    return room
+
+
 def best_fit(sizes: list[int], capacities: list[int]) -> tuple[list[int], list[int]]:
     """Container of each item, and capacity of each container; sizes are at most the largest capacity.
 
     Open containers are kept by their free room in a bit set, so the best one for an item is
-    the lowest set bit from its size on."""
+    the lowest set bit from its size on.  A new container has the capacity of which the items
+    still to come would leave the least share unused."""
     largest = capacities[-1]
     rooms: list[list[int]] = [[] for _ in range(largest + 1)]
     mask = 0
     place = [0] * len(sizes)
     filled: list[int] = []
-    opened: list[int] = []
-    left = sum(sizes)
+    counts, present = [0] * (largest + 1), 0
+    for size in sizes:
+        counts[size] += 1
+        present |= 1 << size
     for k in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
         size = sizes[k]
+        counts[size] -= 1
+        if not counts[size]:
+            present &= ~(1 << size)
         at = mask >> size
         if at:
             room = size + (at & -at).bit_length() - 1
@@ -85,15 +104,13 @@ def best_fit(sizes: list[int], capacities: list[int]) -> tuple[list[int], list[i
             if not rooms[room]:
                 mask &= ~(1 << room)
         else:
-            # The least room unused: as large as what is left can fill, else as small as holds it.
             fits = [c for c in capacities if c >= size]
-            room = min(fits, key=lambda c: (max(0, c - left) / c, -c))
+            # Of equal shares the larger capacity, which leaves later items more choice.
+            room = min(fits, key=lambda c: (unused_room(c - size, counts, present) / c, -c))
             box = len(filled)
             filled.append(0)
-            opened.append(room)
         place[k] = box
         filled[box] += size
-        left -= size
         rest = room - size
         rooms[rest].append(box)
         mask |= 1 << rest
@@ -142,7 +159,9 @@ def pack_documents(
         f"`{doc_id}` {kind}, piece_no int, start_token bigint, n_tokens bigint, container_id bigint, "
         "container_kind string, capacity_tokens bigint"
     )
-    salted = counts.withColumn("__block", F.pmod(F.xxhash64(F.col(doc_id), F.lit(3)), F.lit(blocks)))
+    # Rows without an id are spread by their place.
+    spread = F.when(F.col(doc_id).isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64(doc_id, "n_tokens", F.lit(3)))
+    salted = counts.withColumn("__block", F.pmod(spread, F.lit(blocks)))
     return salted.groupBy("__block").applyInPandas(pack, schema)
 
 

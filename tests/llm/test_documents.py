@@ -27,6 +27,19 @@ def test_best_fit():
     assert best_fit([], [512]) == ([], []) and best_fit([0, 512, 0], [512])[1] in ([512], [512, 512])
 
 
+def test_the_least_costly_capacity_is_opened():
+    """Documents just under a small capacity waste room in the large one."""
+    place, capacity = best_fit([2900] * 60, [3000, 8192])
+    assert capacity == [3000] * 60
+    place, capacity = best_fit([4000] * 40 + [190] * 20, [3000, 8192])
+    assert set(capacity) == {8192} and len(capacity) == 20
+    sizes = [2900] * 50 + [4096] * 50 + [700] * 20
+    held = sum(best_fit(sizes, [1000, 3000, 8192])[1])
+    assert held <= 25 * 8192 + 50 * 3000 + 20 * 1000 and sum(sizes) / held > 0.95
+    alone = [sum(best_fit(sizes, [c])[1]) for c in (8192,)]
+    assert held < min(alone)
+
+
 def test_packing_places_each_once(spark):
     rows = [(k, n, "x") for k, n in enumerate([0, 1, 511, 512, 513, 8192, 8193, 30000, 0] + [37] * 500)] + [(3, 512, "x"), (None, 5, "x")]
     df = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, container_id string").select("doc_id", "n_tokens")
@@ -248,8 +261,22 @@ def test_mixture():
     assert best.tolist() == [0, 1, 0] and (sure > 0.9).all()
     loan = np.array([[-100.0, -180], [-31, -30]])
     assert languages_of(loan, np.array([50.0, 3]))[0].tolist() == [0, 0]
-    ll, share = proportions(like, np.array([10.0, 10, 10]), [0, 1])
+    ll, share = proportions(like, [0, 1])
     assert abs(share.sum() - 1) < 1e-9 and ll < 0
+    # No other proportions are likelier.
+    others = [np.log(np.exp(like[:, :2]) @ np.array([x, 1 - x])).sum() for x in np.linspace(0.01, 0.99, 99)]
+    assert ll >= max(others) - 1e-6
+
+
+def test_rare_language(spark):
+    """A language that a few rows in a thousand carry is learned too."""
+    rng = random.Random(5)
+    rows = [(k, text_in("es", 40, rng), "es") for k in range(1200)] + [(2000 + k, text_in("de", 40, rng), "de") for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = train_language_model(df, "text", "lang", "doc_id")
+    assert model.names == ["de", "es"]
+    new = spark.createDataFrame([(1, text_in("de", 30, rng), None)], "doc_id bigint, text string, lang string")
+    assert {r.lang for r in label_languages(new, model, "doc_id", "text", "lang").collect()} == {"de"}
 
 
 def test_labels(spark):
