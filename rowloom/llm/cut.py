@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowloom.llm.sample import hash_sample
+from rowloom.llm.sample import hash_share
+from rowloom.operators.joins import join_dimension
 from rowloom.session import cut_lineage
 
-
 #: Rows of the labelled sample that the model is trained on.
 TRAIN_ROWS = 20_000
-#: Characters of the end of a text that features look at.
+#: Characters of the end of a text that features look at: of the last sentence they tell apart its
+#: last 60 characters, up to twelve words and its brackets.
 TAIL = 240
 BITS = 16
 
@@ -97,11 +98,12 @@ def train(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 0.15, l
     return w
 
 
-def artificial_cuts(texts: list[str], seed: int = 7) -> list[str]:
-    """Each text cut once within a word or sentence, half of them with a mark after the cut."""
+def artificial_cuts(texts: list[str], seed: int = 7) -> list[tuple[int, str]]:
+    """Texts cut once within a word or sentence, half of them with a mark after the cut, with the
+    place of the text that each was made of."""
     rng = np.random.default_rng(seed)
     out = []
-    for text in texts:
+    for k, text in enumerate(texts):
         if len(text) < 12:
             continue
         for _ in range(20):
@@ -111,39 +113,39 @@ def artificial_cuts(texts: list[str], seed: int = 7) -> list[str]:
                 break
         else:
             continue
-        out.append(base + (MARKS[int(rng.integers(len(MARKS)))] if rng.random() < 0.5 else ""))
+        out.append((k, base + (MARKS[int(rng.integers(len(MARKS)))] if rng.random() < 0.5 else "")))
     return out
 
 
 class CutModel:
-    """Weights with the statistics that the features need; small enough to ship to every task."""
+    """Weights with the statistics that the features need.  ``limits`` is a table ``(__source,
+    __limits)``, joined to the rows; the rest is small enough to ship to every task."""
 
-    def __init__(self, weights: np.ndarray, limits: dict[str, tuple[int, ...]], closings: frozenset[str]) -> None:
+    def __init__(self, weights: np.ndarray, limits: DataFrame, closings: frozenset[str]) -> None:
         self.weights, self.limits, self.closings = weights.astype("float32"), limits, closings
 
-    def score(self, tails: pd.Series, lengths: pd.Series, sources: pd.Series) -> np.ndarray:
-        none: tuple[int, ...] = ()
-        rows = [
-            features(t, int(n), self.limits.get(s, none), self.closings)
-            for t, n, s in zip(tails, lengths, sources, strict=True)
-        ]
-        if not rows:
-            return np.zeros(0)
-        return 1 / (1 + np.exp(-np.clip(self.weights[np.array(rows)].sum(1), -30, 30)))
-
-
-def length_limits(rows: DataFrame, most: int = 4) -> dict[str, tuple[int, ...]]:
-    """Lengths at which a source's texts pile up: at least half a per cent of its texts and
-    eight times the mean of the 20 lengths around.  Counted over all rows; what reaches the
-    driver is a few numbers a source."""
+
+def score_tails(weights: np.ndarray, closings: frozenset[str], tails: pd.Series, lengths: pd.Series, limits: pd.Series) -> np.ndarray:
+    rows = [
+        features(t, int(n), () if at is None else tuple(int(x) for x in at), closings)
+        for t, n, at in zip(tails, lengths, limits, strict=True)
+    ]
+    if not rows:
+        return np.zeros(0)
+    return 1 / (1 + np.exp(-np.clip(weights[np.array(rows)].sum(1), -30, 30)))
+
+
+def length_limits(rows: DataFrame, least: float = 9.0) -> DataFrame:
+    """``(__source, __limits)``: the lengths at which a source's texts pile up, as many as there are.
+
+    A length piles up if its number of different texts is improbable (a log-likelihood ratio of
+    ``least``) for a Poisson count with the mean of the 20 lengths around it."""
     counts = rows.groupBy("__source", "__len").agg(F.count_distinct("__hash").alias("n"))
     near = Window.partitionBy("__source").orderBy("__len").rangeBetween(-10, 10)
-    counts = counts.withColumn("around", (F.sum("n").over(near) - F.col("n")) / 20)
-    total = counts.groupBy("__source").agg(F.sum("n").alias("total"))
-    spikes = counts.join(total, "__source").where("n >= 0.005 * total AND n >= 8 * greatest(around, 0.25)")
-    rank = F.row_number().over(Window.partitionBy("__source").orderBy(F.col("n").desc(), "__len"))
-    spikes = spikes.withColumn("r", rank).where(F.col("r") <= most).groupBy("__source").agg(F.collect_list("__len").alias("at"))
-    return {r[0]: tuple(sorted(r.at)) for r in spikes.limit(10_000).collect()}
+    counts = counts.withColumn("around", F.greatest((F.sum("n").over(near) - F.col("n")) / 20, F.lit(0.1)))
+    ratio = F.col("n") * F.log(F.col("n") / F.col("around")) - (F.col("n") - F.col("around"))
+    spikes = counts.where((F.col("n") >= 8 * F.col("around")) & (ratio >= least))
+    return spikes.groupBy("__source").agg(F.sort_array(F.collect_list("__len")).alias("__limits"))
 
 
 def usual_closings(rows: DataFrame, share: float = 0.01) -> frozenset[str]:
@@ -167,31 +169,32 @@ def usual_closings(rows: DataFrame, share: float = 0.01) -> frozenset[str]:
 
 def fit_cut_model(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> CutModel:
     """Trains on ``train_rows`` intact values, chosen by hash so that every run takes the same."""
-    limits, closings = length_limits(rows), usual_closings(rows)
+    limits, closings = cut_lineage(length_limits(rows)), usual_closings(rows)
     total = rows.agg(F.count_distinct("__hash")).first()[0]
-    sample = hash_sample(rows, "__hash", train_rows, total, 17).dropDuplicates(["__hash"])
-    pdf = sample.orderBy("__hash").select("__tail", "__len", "__source").toPandas()
+    # Copies of a text are one before the bound counts them.
+    sample = rows.where(hash_share("__hash", min(1.0, train_rows / max(1, total)), 17))
+    sample = sample.groupBy("__hash").agg(F.min(F.struct("__tail", "__len", "__source")).alias("r")).select("__hash", "r.*").limit(2 * train_rows)
+    pdf = join_dimension(sample, limits, ["__source"]).orderBy("__hash").select("__tail", "__len", "__limits").toPandas()
     dots = pdf["__tail"].str.rstrip().str.endswith(("...", "…"))
-    terminal = pdf["__tail"].map(lambda t: bool(_TERMINAL.search(t.rstrip()))) & ~dots
-    usual = pdf["__tail"].map(lambda t: last_segment(t) in closings)
+    terminal = pdf["__tail"].map(lambda t: bool(_TERMINAL.search(t.rstrip()))).astype(bool) & ~dots.astype(bool)
+    usual = pdf["__tail"].map(lambda t: last_segment(t) in closings).astype(bool)
     intact = pdf[terminal | usual]
-    none: tuple[int, ...] = ()
+    tails, lengths = intact["__tail"].tolist(), intact["__len"].tolist()
+    at = [() if x is None else tuple(int(v) for v in x) for x in intact["__limits"]]
     x, y = [], []
-    for tail, n, source in intact.itertuples(index=False):
-        at = limits.get(source, none)
-        x.append(features(tail, n, at, closings))
+    for tail, n, own in zip(tails, lengths, at, strict=True):
+        x.append(features(tail, n, own, closings))
         y.append(0)
         # A text shortened at a sentence end is intact, also with a mark after it.
         parts = _SENTENCE_END.split(tail.rstrip())
         if len(parts) > 1 and _TERMINAL.search(parts[-2]):
             mark = MARKS[(n * 7) % 11] if n % 2 else ""
-            x.append(features(tail.rstrip()[: -len(parts[-1])].rstrip() + mark, n, at, closings))
+            x.append(features(tail.rstrip()[: -len(parts[-1])].rstrip() + mark, n, own, closings))
             y.append(0)
-    for k, cut in enumerate(artificial_cuts(list(intact["__tail"]))):
-        source = intact["__source"].iloc[k % len(intact)]
-        at = limits.get(source, none)
-        n = at[k % len(at)] if at and k % 3 == 0 else int(intact["__len"].iloc[k % len(intact)])
-        x.append(features(cut, n, at, closings))
+    for k, (of, cut) in enumerate(artificial_cuts(tails)):
+        own = at[of]
+        n = own[k % len(own)] if own and k % 3 == 0 else int(lengths[of])
+        x.append(features(cut, n, own, closings))
         y.append(1)
     if not any(y) or all(y):
         return CutModel(np.zeros(1 << BITS), limits, closings)
@@ -213,15 +216,16 @@ def score_cuts(df: DataFrame, id_col: str, text: str, source: str, model: CutMod
     treated alike, a null source has no limits, repeated rows are kept, an empty table gives
     no rows and other columns are not read.
     """
-    rows = cut_rows(df, id_col, text, source)
+    rows = join_dimension(cut_rows(df, id_col, text, source), model.limits, ["__source"])
     kind = dict(df.dtypes)[id_col]
+    weights, closings = model.weights, model.closings
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            score = model.score(b["__tail"], b["__len"], b["__source"])
+            score = score_tails(weights, closings, b["__tail"], b["__len"], b["__limits"])
             yield pd.DataFrame({id_col: b["__id"], "source": b["__source"], "score": score})
 
-    rows = rows.select("__id", "__source", "__tail", "__len")
+    rows = rows.select("__id", "__source", "__tail", "__len", "__limits")
     return rows.mapInPandas(run, f"`{id_col}` {kind}, source string, score double")
 
 

@@ -19,8 +19,9 @@ from rowloom.session import cut_lineage
 
 @dataclass(frozen=True)
 class Bundle:
-    """``trust``: columns compared from left to right, larger is better; the first is also the
-    number that branch-and-bound adds up.  ``signature``: values that dependencies speak of."""
+    """``trust``: columns compared from left to right, larger is better.  ``signature``: values that
+    dependencies speak of.  Within a group the best candidate of a bundle has the trust 1, the others
+    less by their rank, so the trusts of bundles with different measures can be added up."""
 
     name: str
     eligible: Column
@@ -51,19 +52,21 @@ def _candidates(rows: DataFrame, bundle: Bundle) -> DataFrame:
     return part.groupBy("__key", *names).agg(F.max("best").alias("best"))
 
 
-def search(candidates: dict[str, list[tuple]], allowed: dict[tuple[str, str], dict[str, str]], owners: dict[str, str]) -> dict:
+def search(candidates: dict[str, list[tuple]], allowed: dict[tuple[str, str], dict[str, str]]) -> dict:
     """Best-first branch-and-bound over one candidate per bundle.
 
-    ``candidates``: per bundle ``(trust, order, id, signature)`` from best to worst.
-    ``allowed``: for each dependency the value of the right side that goes with a left value;
-    unknown and null values are free.  The bound of a partial choice is its trust plus the
-    best trust of every open bundle, so the first complete choice taken is the best one.
+    ``candidates``: per bundle ``(trust, id, signature)`` from best to worst.  ``allowed``: for each
+    dependency the value of the right side that goes with a left value; unknown and null values are
+    free.  The bound of a partial choice is its trust plus the best trust of every open bundle, so the
+    first complete choice taken is the best one.  A bundle may stay empty, with trust 0, so there is
+    always a choice: where no candidate is allowed beside better ones it is left out.
     """
     order = [b for b, c in candidates.items() if c]
-    ahead = [sum(candidates[b][0][0] for b in order[k:]) for k in range(len(order) + 1)]
+    options = {b: [*candidates[b], (0.0, None, {})] for b in order}
+    ahead = [sum(options[b][0][0] for b in order[k:]) for k in range(len(order) + 1)]
 
     def ok(chosen: list[tuple]) -> bool:
-        values = {n: v for c in chosen for n, v in c[3].items()}
+        values = {n: v for c in chosen for n, v in c[2].items()}
         for (left, right), known in allowed.items():
             x, y = values.get(left), values.get(right)
             if x is not None and y is not None and known.get(x, y) != y:
@@ -74,24 +77,25 @@ def search(candidates: dict[str, list[tuple]], allowed: dict[tuple[str, str], di
     while heap:
         _, ranks, depth, picks = heapq.heappop(heap)
         k = picks[-1]
-        chosen = [candidates[order[i]][p] for i, p in enumerate(picks)]
+        chosen = [options[order[i]][p] for i, p in enumerate(picks)]
         here = sum(c[0] for c in chosen[:-1])
-        if k + 1 < len(candidates[order[depth]]):
-            worse = candidates[order[depth]][k + 1]
+        if k + 1 < len(options[order[depth]]):
+            worse = options[order[depth]][k + 1]
             heapq.heappush(heap, (-(here + worse[0] + ahead[depth + 1]), (*ranks[:depth], k + 1), depth, [*picks[:-1], k + 1]))
         if not ok(chosen):
             continue
         if depth + 1 == len(order):
-            return {b: c[2] for b, c in zip(order, chosen, strict=True)}
+            return {b: c[1] for b, c in zip(order, chosen, strict=True) if c[1] is not None}
         heapq.heappush(heap, (-(here + chosen[-1][0] + ahead[depth + 1]), (*ranks[:depth], k, 0), depth + 1, [*picks, 0]))
-    return {b: candidates[b][0][2] for b in order}
+    return {}
 
 
 def fuse_groups(
     df: DataFrame, key: str, id_col: str, bundles: list[Bundle],
     dependencies: list[Dependency] | None = None, least: int = 2,
 ) -> DataFrame:
-    """Rows ``(key, <bundle>_id ...)``: the row each bundle is taken from, 0 if none qualifies.
+    """Rows ``(key, <bundle>_id ...)``: the row each bundle is taken from, 0 if none qualifies or none
+    is allowed beside the others.
 
     * Only groups of ``least`` rows or more; rows with a null key belong to no group.
     * The last trust column is followed by the id, so trusts must make the order total;
@@ -100,10 +104,11 @@ def fuse_groups(
       ``df`` are not read unless a bundle names them.
 
     The best candidates come from one aggregation with map-side combine, so a group of any
-    size costs its task only one row per map task.  Without dependencies that is the answer.
-    With them, groups whose best candidates already agree are done too; only for the others
-    the candidates, reduced to one per signature, are searched.  The allowed right value of a
-    left value is the one that most rows of the whole table have.
+    size costs its task only one row per map task.  That is the root of the search: its bound is
+    reached where the best candidates agree with all dependencies.  Other groups are branched on,
+    with their candidates reduced to one per signature, so a group of any size costs as many as it
+    has different values.  The allowed right value of a left value is the one that most rows of the
+    whole table have.
     """
     dependencies = dependencies or []
     rows = df.where(F.col(key).isNotNull()).withColumn("__key", F.col(key)).withColumn("__id", F.col(id_col))
@@ -162,14 +167,16 @@ def fuse_groups(
     def solve(keys: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         import json
 
-        candidates: dict[str, list[tuple]] = {n: [] for n in names}
+        ranked: dict[str, list[tuple]] = {n: [] for n in names}
         for row in left.itertuples(index=False):
             trust = tuple(float("-inf") if x is None else x for x in row.trust)
-            candidates[row.bundle].append((trust[0] if trust else 0.0, (trust, row.id), row.id, json.loads(row.signature)))
-        for c in candidates.values():
-            c.sort(key=lambda x: x[1], reverse=True)
+            ranked[row.bundle].append((trust, row.id, json.loads(row.signature)))
+        candidates: dict[str, list[tuple]] = {}
+        for n, c in ranked.items():
+            c.sort(key=lambda x: x[:2], reverse=True)
+            candidates[n] = [(1 - k / len(c), i, signature) for k, (_, i, signature) in enumerate(c)]
         allowed = {tuple(r.rule.split("\x1f")): json.loads(r.known) for r in right.itertuples(index=False)}
-        chosen = search(candidates, allowed, {})
+        chosen = search(candidates, allowed)
         return pd.DataFrame({key: [keys[0]], **{f"{n}_id": [chosen.get(n, 0)] for n in names}})
 
     schema = f"`{key}` {kinds[key]}, " + ", ".join(f"`{n}_id` {kinds[id_col]}" for n in names)

@@ -123,9 +123,15 @@ def scored_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cut_descriptions(spark: SparkSession, sf_dir: str, scored: DataFrame) -> DataFrame:
-    """Cut descriptions that hold content; residue is a case of its own."""
-    residue = p2_found(spark, sf_dir).where("field = 'description'").select("tbl", "row_id")
-    return scored.where(F.col("score") >= CUT).join(residue, ["tbl", "row_id"], "left_anti")
+    """Cut descriptions that hold content; residue is a case of its own.  Only what is cut is
+    searched for residue."""
+    cut = cut_lineage(scored.where(F.col("score") >= CUT))
+    parts = []
+    for t in DESCRIBED:
+        asked = cut.where(F.col("tbl") == t)
+        residue = find_residue(table(spark, sf_dir, t), "row_id", ["description"], "title", "source_url", asked)
+        parts.append(asked.join(residue.select("row_id"), "row_id", "left_anti").select(*cut.columns))
+    return parts[0].unionByName(parts[1])
 
 
 @query("p6_found")
@@ -141,49 +147,47 @@ def p6_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def survivor_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Bundle]]:
-    """Jobs with what the bundles need to know of them, and the bundles."""
-    jobs = table(spark, sf_dir, "jobs")
-    residue = find_residue(jobs, "row_id", ["description"], "title", "source_url").select("row_id")
+    """Jobs of postings with two rows or more, with what the bundles need to know of them, and the
+    bundles.  The island of a place determines the province.  The rows are written once."""
+    everything = table(spark, sf_dir, "jobs")
+    several = everything.where(F.col("job_key").isNotNull()).groupBy("job_key").agg(F.count("*").alias("n")).where("n > 1").select("job_key")
+    jobs = everything.join(cut_lineage(several), "job_key", "left_semi")
+    ids = cut_lineage(jobs.select("row_id"))
+    residue = find_residue(everything, "row_id", ["description"], "title", "source_url", ids).select("row_id")
     cut = score_cuts(jobs, "row_id", "description", "source", cut_model(spark, sf_dir)).where(F.col("score") >= CUT)
     bad = residue.unionByName(cut.select("row_id")).distinct().withColumn("__bad", F.lit(True))
     rows = jobs.select(
-        "row_id", "job_key", "island_raw", "province_raw", "municipality_raw", "raw_location", "payload_hash", "salary_text",
+        "row_id", "job_key", "island_raw", "province_raw", "municipality_raw", "raw_location", "salary_text",
         F.length("description").alias("__len"), F.unix_micros(F.col("last_seen_at").try_cast("timestamp")).alias("__seen"),
     )
-    rows = states_amount(rows, "salary_text", "__pays").join(bad, "row_id", "left")
+    rows = cut_lineage(states_amount(rows, "salary_text", "__pays").drop("salary_text").join(bad, "row_id", "left"))
     seen, first = F.coalesce("__seen", F.lit(0)), -F.col("row_id")
     described = F.col("__len").isNotNull() & F.col("__bad").isNull()
+    parts = sum(F.col(c).isNotNull().cast("int") for c in ("municipality_raw", "island_raw", "raw_location"))
+    island, province = F.lower(F.trim("island_raw")), F.lower(F.trim("province_raw"))
     bundles = [
         Bundle("survivor", F.lit(True), [seen, first]),
         Bundle("description", described, [F.col("__len"), seen, first]),
         Bundle("salary", F.col("__pays"), [seen, first]),
+        Bundle("place", parts > 0, [parts, seen, first], {"island": island}),
+        Bundle("province", F.col("province_raw").isNotNull(), [F.lit(1), seen, first], {"province": province}),
     ]
     return rows, bundles
 
 
-@query("p7_found")
-def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, bundles = survivor_rows(spark, sf_dir)
-    found = fuse_groups(rows, "job_key", "row_id", bundles)
-    named = {f"{b.name}_id": f"{b.name}_row_id" for b in bundles}
-    return found.withColumnsRenamed(named)
-
-
 @query("p7_survivors")
 def p7_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The source rows of each survivor's bundles, places included: the island of the place
-    determines the province."""
+    """The source rows of each survivor's bundles, chosen together: description, pay, place and province."""
     rows, bundles = survivor_rows(spark, sf_dir)
-    seen, first = F.coalesce("__seen", F.lit(0)), -F.col("row_id")
-    parts = sum(F.col(c).isNotNull().cast("int") for c in ("municipality_raw", "island_raw", "raw_location"))
-    island, province = F.lower(F.trim("island_raw")), F.lower(F.trim("province_raw"))
-    bundles += [
-        Bundle("place", parts > 0, [parts, seen, first], {"island": island}),
-        Bundle("province", F.col("province_raw").isNotNull(), [F.lit(1), seen, first], {"province": province}),
-    ]
     return fuse_groups(rows, "job_key", "row_id", bundles, [Dependency("island", "province")])
 
 
+@query("p7_found")
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = {f"{n}_id": f"{n}_row_id" for n in ("survivor", "description", "salary")}
+    return p7_survivors(spark, sf_dir).select("job_key", *[F.col(a).alias(b) for a, b in wanted.items()])
+
+
 @query("p9_leaks")
 def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and leaked item with the repeated words and the exact containment."""

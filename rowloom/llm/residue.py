@@ -1,9 +1,9 @@
 """Template residue, filler, error pages and script notices in place of content.
 
 Two kinds of evidence are combined.  Detectors look for placeholders and for the wording of
-filler, errors and notices.  Host evidence looks for what no detector knows: a low-information
-body that a host serves for several different titles, that shares no term with the title or
-the address slug, and whose terms are not those of the host's real texts.
+filler, errors and notices.  Host evidence looks for what no detector knows: one body, but for
+numbers and identifiers, that a host serves for several titles, that shares no term with the
+title or the address slug, and whose terms are not those of the host's other texts.
 """
 
 from __future__ import annotations
@@ -76,8 +76,11 @@ NOTICES = [
 #: Words that are only evidence together with a body that has nothing to do with its title.
 WEAK = r"\b(?:errors?|servidor|server|navegador|browser|cookies?|scripts?|sesion|session|recargu?e|reload|scripting|pagina|page|click here)\b"
 
+#: A body of so few characters holds little information; with weak words it is no content.
 SHORT = 240
-TITLES = 3
+#: A body under so many titles of a host is a response of the host; a term that so large a share of
+#: the host's other texts has is a term of its real texts, and a response has fewer than half of those.
+TITLES, KNOWN, STRANGE = 2, 0.02, 0.5
 
 
 def any_of(patterns: list[str]) -> str:
@@ -110,11 +113,12 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(text, r"[^\p{L}]+"), lambda w: F.length(w) >= 3))
 
 
-def find_residue(df: DataFrame, id_col: str, fields: list[str], title: str, url: str) -> DataFrame:
+def find_residue(df: DataFrame, id_col: str, fields: list[str], title: str, url: str, only: DataFrame | None = None) -> DataFrame:
     """Rows ``(id, field, reason)`` of the values that hold something else than content.
 
-    ``reason`` is the detector, or ``host`` where only host evidence speaks.  Two weak words
-    are enough where neither title nor slug shares a term with a short body.
+    ``reason`` is the detector, ``weak`` where neither title nor slug shares a term with a short
+    body of at least two weak words, or ``host`` where only host evidence speaks.  ``only`` are the
+    ids that are asked about; the evidence of the hosts comes from all rows all the same.
 
     * Null values are no cases, nor is empty text.
     * A null title or address shares no term; rows without address are compared per table.
@@ -123,11 +127,9 @@ def find_residue(df: DataFrame, id_col: str, fields: list[str], title: str, url:
     cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in fields])
     host = F.coalesce(F.regexp_extract(F.col(url), r"^[a-z]+://([^/?#]+)", 1), F.lit(""))
     slug = F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"^[a-z]+://[^/?#]+", " ")
-    rows = df.select(
-        F.col(id_col).alias("__id"), host.alias("host"), slug.alias("slug"), F.col(title).alias("title"),
-        F.explode(cells).alias("c"),
-    ).select("__id", "host", "slug", "title", "c.*")
-    rows = rows.where(F.length(F.trim("value")) > 0)
+    base = df.select(F.col(id_col).alias("__id"), host.alias("host"), slug.alias("slug"), F.col(title).alias("title"), F.explode(cells).alias("c"))
+    base = base.select("__id", "host", "slug", "title", "c.*").where(F.length(F.trim("value")) > 0)
+    rows = base if only is None else base.join(only.select(F.col(id_col).alias("__id")).distinct(), "__id", "left_semi")
     rows = rows.select("*", F.explode(F.array(F.lower("value"))).alias("low"))
     rows = rows.select("*", F.explode(F.array(detectors(F.col("value"), F.col("low")))).alias("reason"))
 
@@ -135,43 +137,54 @@ def find_residue(df: DataFrame, id_col: str, fields: list[str], title: str, url:
     body = F.col("field") != title
     rows = rows.where(F.col("reason").isNotNull() | (body & (F.length("value") <= SHORT)))
     text = F.when(F.col("reason").isNull(), strip_accents(F.col("low")))
-    rows = cut_lineage(rows.select("__id", "host", "slug", "title", "field", "reason", text.alias("plain")))
+    rows = cut_lineage(rows.select("__id", "slug", "title", "field", "reason", text.alias("plain")))
 
-    # Host evidence: bodies only, a title is compared with nothing.
     context = terms(strip_accents(F.lower(F.concat_ws(" ", "title", "slug"))))
     short = rows.where(F.col("reason").isNull()).withColumn("words", terms(F.col("plain")))
-    short = short.where(~F.arrays_overlap("words", context))
     weak_words = F.array_distinct(F.regexp_extract_all("plain", F.lit(f"({WEAK})"), F.lit(1)))
-    weak = short.where((F.size(weak_words) >= 2) & (F.size("words") < 25))
+    weak = short.where(~F.arrays_overlap("words", context) & (F.size(weak_words) >= 2) & (F.size("words") < 12 * F.size(weak_words)))
     found = rows.where(F.col("reason").isNotNull()).select("__id", "field", "reason")
     found = found.unionByName(weak.select("__id", "field", F.lit("weak").alias("reason")))
-    found = found.unionByName(host_evidence(df, fields, title, host, short))
-    return found.groupBy("__id", "field").agg(F.min("reason").alias("reason")).withColumnRenamed("__id", id_col)
-
-
-def host_evidence(df: DataFrame, fields: list[str], title: str, host: Column, short: DataFrame) -> DataFrame:
-    """Short bodies that a host serves under several titles and that use other words than its real texts."""
-    # Numbers and identifiers are masked, so one message is one fingerprint.
-    mask = F.regexp_replace(F.col("plain"), r"[0-9a-f]*\d[0-9a-f]*", "0")
-    short = short.withColumn("print", F.xxhash64(mask))
-    served = short.groupBy("host", "field", "print", "title").agg(F.first("words").alias("words"))
-    served = served.groupBy("host", "field", "print").agg(F.count("*").alias("titles"), F.first("words").alias("words"))
-    served = cut_lineage(served.where(F.col("titles") >= TITLES))
-    nothing = short.select("__id", "field", F.lit("host").alias("reason"))
+    served = host_evidence(base.where(body))
+    if only is not None:
+        served = served.join(only.select(F.col(id_col).alias("__id")).distinct(), "__id", "left_semi")
+    found = found.unionByName(served)
+    rank = F.when(F.col("reason") == "host", 1).otherwise(0)
+    return found.groupBy("__id", "field").agg(F.min(F.struct(rank.alias("rank"), "reason")).alias("r")).select(
+        F.col("__id").alias(id_col), "field", "r.reason"
+    )
+
+
+def host_evidence(bodies: DataFrame) -> DataFrame:
+    """``(__id, field, reason)`` of bodies that a host serves under several titles and that use other
+    words than its other texts.  Bodies of any length take part."""
+    # Digits and the letters of hexadecimal identifiers are left out, so one message is one fingerprint.
+    mark = F.xxhash64(F.translate(F.lower(F.col("value")), "0123456789abcdef", ""))
+    marked = bodies.select("__id", "host", "field", mark.alias("print"), F.coalesce("title", F.lit("")).alias("title"))
+    titles = marked.select("host", "field", "print", "title").distinct().groupBy("host", "field", "print").agg(F.count("*").alias("titles"))
+    served = cut_lineage(titles.where(F.col("titles") >= TITLES).select("host", "field", "print"))
+    nothing = bodies.select("__id", "field", F.lit("host").alias("reason"))
     if served.isEmpty():
         return nothing.limit(0)
 
-    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in fields if c != title])
-    rich = df.select(host.alias("host"), F.explode(cells).alias("c")).select("host", "c.*").where(F.length("value") > SHORT)
-    totals = rich.groupBy("host", "field").agg(F.count("*").alias("n"))
-    # A term is looked up only if a served body asks for it.
-    asked = served.select("host", "field", "print", F.size("words").alias("size"), F.explode("words").alias("word"))
+    key = ["host", "field", "print"]
+    plain = terms(strip_accents(F.lower(F.col("value"))))
+    context = terms(strip_accents(F.lower(F.concat_ws(" ", "title", "slug"))))
+    rows = bodies.withColumn("print", mark).join(served, key, "left_semi").select("__id", *key, plain.alias("words"), context.alias("context"))
+    rows = cut_lineage(rows.where(~F.arrays_overlap("words", "context")).select("__id", *key, "words"))
+    if rows.isEmpty():
+        return nothing.limit(0)
+
+    asked = rows.groupBy(*key).agg(F.first("words").alias("words")).select(*key, F.size("words").alias("size"), F.explode("words").alias("word"))
+    asked = cut_lineage(asked)
+    # A term is looked up only if a served body asks for it; the other texts of a host are its real ones.
     wanted = asked.select("word").distinct()
-    vocabulary = rich.select("host", "field", F.explode(terms(strip_accents(F.lower("value")))).alias("word"))
+    rich = bodies.withColumn("print", mark).join(served, key, "left_anti")
+    totals = rich.groupBy("host", "field").agg(F.count("*").alias("n"))
+    vocabulary = rich.select("host", "field", F.explode(plain).alias("word"))
     vocabulary = vocabulary.join(F.broadcast(wanted) if is_small(wanted) else wanted, "word", "left_semi")
     vocabulary = vocabulary.groupBy("host", "field", "word").agg(F.count("*").alias("df")).join(totals, ["host", "field"])
-    vocabulary = vocabulary.where("df >= 0.02 * n").select("host", "field", "word", F.lit(1).alias("known"))
-    known = asked.join(vocabulary, ["host", "field", "word"], "left")
-    known = known.groupBy("host", "field", "print").agg((F.sum("known") / F.max("size")).alias("share"))
-    strange = known.where(F.coalesce("share", F.lit(0)) < 0.5).select("host", "field", "print")
-    return short.join(strange, ["host", "field", "print"], "left_semi").select("__id", "field", F.lit("host").alias("reason"))
+    vocabulary = vocabulary.where(F.col("df") >= KNOWN * F.col("n")).select("host", "field", "word", F.lit(1).alias("known"))
+    known = asked.join(vocabulary, ["host", "field", "word"], "left").groupBy(*key).agg((F.sum("known") / F.max("size")).alias("share"))
+    strange = known.where(F.coalesce("share", F.lit(0)) < STRANGE).select(*key)
+    return rows.join(strange, key, "left_semi").select("__id", "field", F.lit("host").alias("reason"))

@@ -3,11 +3,10 @@
 import itertools
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.llm.cut import artificial_cuts, cut_rows, fit_cut_model, last_segment, score_cuts, source_shares, split_mark
+from rowloom.llm.cut import artificial_cuts, cut_rows, fit_cut_model, last_segment, length_limits, score_cuts, source_shares, split_mark
 from rowloom.llm.fuse import Bundle, Dependency, fuse_groups, search
 from rowloom.llm.residue import find_residue
 
@@ -50,6 +49,42 @@ def test_host_evidence(spark):
     assert {(r.id, r.reason) for r in got} == {(k, "host") for k in range(4)}
 
 
+def test_long_page_of_a_host(spark):
+    """A response of any length that no list knows, with identifiers that differ, under two titles."""
+    page = "Regrese luego, por favor: nuestras colas procesan peticiones acumuladas desde anoche. Referencia {0}. " * 9
+    rows = [(k, f"Titulo {w}", page.format(f"a{k}f{k}"), f"https://h/{k}", "", "") for k, w in enumerate("ab")]
+    rows += [(k + 10, "Titulo a", page.format(k) + " Otra.", "https://h/9", "", "") for k in range(2)]
+    rng = random.Random(4)
+    rows += [(100 + k, "Cocinera", " ".join(rng.choices("cocina sala turno equipo cliente pedido".split(), k=90)), "https://h/z", "", "") for k in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert len(page) > 800
+    got = find_residue(df, "id", ["title", "description"], "title", "url").collect()
+    assert {(r.id, r.reason) for r in got} == {(0, "host"), (1, "host")}
+    asked = find_residue(df, "id", ["description"], "title", "url", df.where("id in (1, 100)").select("id")).collect()
+    assert {(r.id, r.reason) for r in asked} == {(1, "host")}
+
+
+def test_all_limits_of_a_source(spark):
+    """Seven lengths at which texts of one source pile up, among texts of all lengths."""
+    rng, at = random.Random(3), [200, 300, 400, 500, 600, 700, 800]
+    rows = [("s", "x", n, k * 1000 + j) for k, n in enumerate(at) for j in range(9)]
+    rows += [("s", "x", rng.randint(100, 2000), 10**6 + k) for k in range(1500)]
+    df = spark.createDataFrame(rows, "__source string, __tail string, __len int, __hash bigint")
+    got = length_limits(df).collect()
+    assert [r[0] for r in got] == ["s"] and got[0][1] == at
+    many = df.withColumn("__source", F.concat("__source", (F.col("__hash") % 3).cast("string")))
+    assert length_limits(many).count() <= 3 and length_limits(df.limit(0)).count() == 0
+
+
+def test_copies_count_once_in_the_sample(spark):
+    texts = sentences(60, 5)
+    rows = [(k, t, "s") for k, t in enumerate(texts)] + [(1000 + k, texts[0], "s") for k in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, d string, source string")
+    model = fit_cut_model(cut_rows(df, "id", "d", "source"), train_rows=100)
+    cut = spark.createDataFrame([(k, t[: len(t) // 2].rstrip(" .y"), "s") for k, t in enumerate(texts[:20])], "id bigint, d string, source string")
+    assert score_cuts(cut, "id", "d", "source", model).where("score >= 0.5").count() >= 18
+
+
 def sentences(n, seed):
     rng = random.Random(seed)
     subjects = ["El equipo", "La persona elegida", "Nuestro centro", "La jornada", "El puesto"]
@@ -61,7 +96,7 @@ def sentences(n, seed):
 def test_cut_model_on_held_out_texts(spark):
     ends = ["Jornada completa", "Plazas: 12", "- Carné B", ""]
     whole = [t + ("\n" + e if e else "") for t, e in zip(sentences(900, 1), itertools.cycle(ends))]
-    cut = artificial_cuts(sentences(120, 2), seed=9)
+    cut = [t for _, t in artificial_cuts(sentences(120, 2), seed=9)]
     train = spark.createDataFrame([(k, t, "s") for k, t in enumerate(whole)], "id bigint, d string, source string")
     model = fit_cut_model(cut_rows(train, "id", "d", "source"))
     test = [(k, t, "s") for k, t in enumerate([t + "\n" + e for t, e in zip(sentences(120, 3), itertools.cycle(ends[:3]))] + cut)]
@@ -75,7 +110,8 @@ def test_cut_edges(spark):
     df = spark.createDataFrame([(1, None, "s", ""), (2, " ", "s", ""), (3, "x" * 50000, None, ""), (3, "x" * 50000, None, "")], schema)
     model = fit_cut_model(cut_rows(df, "id", "d", "source"))
     assert [r.id for r in score_cuts(df, "id", "d", "source", model).collect()] == [3, 3]
-    assert fit_cut_model(cut_rows(df.limit(0), "id", "d", "source")).score(pd.Series([], dtype=str), pd.Series([], dtype=int), pd.Series([], dtype=str)).size == 0
+    none = fit_cut_model(cut_rows(df.limit(0), "id", "d", "source"))
+    assert score_cuts(df.limit(0), "id", "d", "source", none).count() == 0
     assert split_mark("los pedidos del... Leer más")[0] == "los pedidos del" and split_mark("fin.") == ("fin.", "")
     assert last_segment("Uno. Plazas: 12") == "plazas: 9"
     scored = spark.createDataFrame([(1, "a", 0.9), (2, "a", 0.1)], "id bigint, source string, score double")
@@ -111,22 +147,28 @@ def test_search_against_all_combinations():
     for _ in range(200):
         cands = {}
         for b, sig in (("a", "x"), ("b", "y"), ("c", "z")):
-            cs = [(rng.randint(1, 9), (rng.random(),), f"{b}{k}", {sig: rng.choice(["p", "q", None])}) for k in range(rng.randint(1, 4))]
+            cs = [(rng.randint(1, 9), f"{b}{k}", {sig: rng.choice(["p", "q", None])}) for k in range(rng.randint(1, 4))]
             cands[b] = sorted(cs, key=lambda c: -c[0])
         allowed = {("x", "y"): {"p": "p", "q": "q"}, ("y", "z"): {"p": "q"}}
 
         def ok(combo):
-            v = {n: x for c in combo for n, x in c[3].items()}
-            return all(v[a] is None or v[b] is None or known.get(v[a], v[b]) == v[b] for (a, b), known in allowed.items())
+            v = {n: x for c in combo for n, x in c[2].items()}
+            return all(v.get(a) is None or v.get(b) is None or known.get(v[a], v[b]) == v[b] for (a, b), known in allowed.items())
+
+        # Every bundle may stay empty, which counts 0.
+        options = [[*c, (0, None, {})] for c in cands.values()]
+        best = max(sum(c[0] for c in combo) for combo in itertools.product(*options) if ok(combo))
+        got = search(cands, allowed)
+        chosen = [next(c for c in cands[b] if c[1] == got[b]) for b in cands if b in got]
+        assert ok(chosen) and sum(c[0] for c in chosen) == best
+
 
-        good = [c for c in itertools.product(*cands.values()) if ok(c)]
-        got = search(cands, allowed, {})
-        if good:
-            best = max(sum(c[0] for c in combo) for combo in good)
-            chosen = [next(c for c in cands[b] if c[2] == got[b]) for b in cands]
-            assert ok(chosen) and sum(c[0] for c in chosen) == best
+def test_search_leaves_out_what_nothing_allows():
+    """Two bundles that contradict each other whatever is taken: the one with less trust stays empty."""
+    cands = {"a": [(1.0, "a1", {"x": "p"})], "b": [(0.6, "b1", {"y": "q"}), (0.5, "b2", {"y": "r"})]}
+    assert search(cands, {("x", "y"): {"p": "p"}}) == {"a": "a1"}
 
 
 @pytest.mark.parametrize("n", [0, 1])
 def test_search_small(n):
-    assert search({"a": [(1.0, (1.0,), "i", {})][:n]}, {}, {}) == ({"a": "i"} if n else {})
+    assert search({"a": [(1.0, "i", {})][:n]}, {}) == ({"a": "i"} if n else {})
