@@ -15,13 +15,33 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+# English names of months by their first three letters.
+MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
+# Dates within other text: a pattern and the form of its rewriting, tried in this order.
+WITHIN = [
+    (r".*?\b(\d{4})-(\d{2})-(\d{2})\b.*", "$3 $2 $1", "d M yyyy"),
+    (r".*?\b(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})\b.*", "$1 $2 $3", "d M yyyy"),
+    (rf"(?i).*?\b(\d{{1,2}})(?:st|nd|rd|th)?(?: of)? ({MONTHS})[a-z]*\.?,? (\d{{4}})\b.*", "$1 $2 $3", "d MMM yyyy"),
+    (rf"(?i).*?\b({MONTHS})[a-z]*\.? (\d{{1,2}})(?:st|nd|rd|th)?,? (\d{{4}})\b.*", "$2 $1 $3", "d MMM yyyy"),
+]
+
+
+def _within(text: Column) -> list[Column]:
+    found = []
+    for pattern, rewriting, form in WITHIN:
+        date = F.initcap(F.regexp_replace(text, pattern, rewriting))
+        found.append(F.when(text.rlike(pattern), _iso(F.try_to_timestamp(date, F.lit(form)))))
+    return found
+
+
 def parse_date(col: Column, cleaned: bool = False) -> Column:
-    """ISO form of a date; ISO input is read as such, other numeric dates day first.  Text that
-    is no date stays as it is, null stays null."""
+    """ISO form of a date; ISO input is read as such, other numeric dates day first.  A date within
+    other text is found by its digits or its English month.  Text without a date stays as it is, null
+    stays null."""
     text = col if cleaned else clean_text(col)
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), _iso(text.try_cast("timestamp")))
     found = [_iso(F.try_to_timestamp(text, F.lit(form))) for form in DAY_FIRST]
-    return F.coalesce(iso, *found, text)
+    return F.coalesce(iso, *found, *_within(text), text)
 
 
 def iso_or_same(col: Column) -> Column:

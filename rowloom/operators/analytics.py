@@ -70,6 +70,16 @@ def sector_summary(df: DataFrame, sector: str, score: str) -> DataFrame:
     return df.groupBy(sector).agg(F.count("*").alias("n"), F.avg(score).alias("mean"), F.stddev_samp(score).alias("sd"))
 
 
+def sector_rows(df: DataFrame, sector: str, score: str, order: str, sectors: list[str] = SECTORS, draws: int = 5000) -> DataFrame:
+    """``(sector, n, mean, sd, low, high)``: one row for each sector, also for one without pairs, which has
+    n 0 and NaN for the rest."""
+    wanted = df.sparkSession.createDataFrame([(s,) for s in sectors], f"`{sector}` string")
+    intervals = bootstrap_mean(df, sector, score, order, draws).select(sector, "low", "high")
+    rows = wanted.join(sector_summary(df, sector, score), sector, "left").join(intervals, sector, "left")
+    nan = F.lit(float("nan"))
+    return rows.select(sector, F.coalesce("n", F.lit(0)).alias("n"), *[F.coalesce(c, nan).alias(c) for c in ("mean", "sd", "low", "high")])
+
+
 def best_per_sector(df: DataFrame, key: str, sector: str, score: str, sectors: list[str] = SECTORS) -> DataFrame:
     """``(key, best_<sector> ...)``: the best score of each sector, null where it has none."""
     return df.groupBy(key).agg(*[F.max(F.when(F.col(sector) == s, F.col(score))).alias(f"best_{s}") for s in sectors])

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rowloom.functions.dates import report_year
-from rowloom.functions.keys import catalogue_key
+from rowloom.functions.keys import catalogue_key, stable_source_id
 from rowloom.functions.text import norm_match
 from rowloom.operators.joins import is_small
 from rowloom.operators.select import first_per_key
+from rowloom.sources import html
 
 DEGREE_COLUMNS = [
     "source", "source_id", "university", "title", "title_type", "university_id", "university_type", "branch", "center",
@@ -195,6 +196,47 @@ def memory_resolution(records: DataFrame, found: DataFrame, resolvers: list[str]
     }).drop("__found")
 
 
+def crawl_indexes(
+    pages: DataFrame, registry: DataFrame, scraped_at: Column, cycles: list[str] = TITLE_TYPES, most: int = 120, details: DataFrame | None = None,
+) -> DataFrame:
+    """Degrees of the universities' own index pages in the catalogue's columns.
+
+    ``pages`` has ``university_id, path_no, html, url``.  Of each page the first ``most`` candidates
+    count; of candidates with one university, title and type the first by path and place; then the
+    cycles that were not asked for are left out.  ``details`` (``source_url, html``) gives the
+    descriptions; a page that is missing there is an ``error``.  Unknown cycles are an error.
+    """
+    unknown = set(cycles) - set(TITLE_TYPES)
+    if unknown:
+        raise ValueError(f"unknown cycles {sorted(unknown)}")
+    how = F.create_map(*[F.lit(x) for kv in html.STRATEGIES.items() for x in kv])
+    known = registry.select("university_id", "canonical_name", "university_type").dropDuplicates(["university_id"])
+    pages = pages.withColumn("how", F.element_at(how, F.col("university_id")))
+    found = html.programme_candidates(pages, "how", keep=["university_id", "path_no"])
+    place = F.row_number().over(Window.partitionBy("university_id", "path_no").orderBy("position", "source_url"))
+    found = found.withColumn("__place", place).where(F.col("__place") <= most)
+    key = F.concat_ws("\u001f", "university_id", F.lower("title"), "title_type")
+    found = first_per_key(found.withColumn("__k", key), F.col("__k"), [F.col("path_no"), F.col("__place")]).where(F.col("title_type").isin(cycles))
+    rows = found.join(F.broadcast(known) if is_small(known) else known, "university_id")
+    rows = rows.withColumn("source_id", stable_source_id(F.col("university_id"), F.col("title"), F.col("source_url")))
+    values = {
+        "source": F.lit("university_official_live"), "university": F.col("canonical_name"), "scraped_at": scraped_at.cast("string"),
+        "description_status": F.lit("missing"),
+    }
+    if details is not None:
+        read = details.groupBy("source_url").agg(F.min("html").alias("html")).select("source_url", F.lit(True).alias("__read"), html.description_udf(F.col("html")).alias("__text"))
+        rows = rows.join(read, "source_url", "left")
+        some = F.col("__text").isNotNull()
+        values |= {
+            "description": F.col("__text"), "description_quality_flag": page_quality(F.col("__text")),
+            "description_status": F.when(F.col("__read").isNull(), "error").when(some, "ok").otherwise("missing"),
+            "description_source": F.when(some, "university_program_page"), "description_source_type": F.when(some, "university_program_page"),
+            "description_source_url": F.when(some, F.col("source_url")),
+        }
+    there = {"source_id", "title", "title_type", "university_id", "university_type", "source_url"}
+    return rows.select(*[values.get(c, F.col(c) if c in there else F.lit(None)).cast("string").alias(c) for c in DEGREE_COLUMNS])
+
+
 def only_registered(records: DataFrame, registry: DataFrame) -> DataFrame:
     """Records of universities that the registry knows under any name."""
     names = registry_aliases(registry).select("alias")

@@ -41,9 +41,11 @@ def tied_rows(df: DataFrame, key: Column, order: list[Column]) -> DataFrame:
 def cover_sources(df: DataFrame, source: str, url: str, order: list[Column], most: int) -> DataFrame:
     """At most ``most`` rows: the best row of each source first, then the best of the rest.
 
-    Rows that repeat an address are skipped, the best one stays; a null address repeats
-    nothing.  If there are more sources than ``most``, the alphabetically first are kept.
+    If all rows fit they are all taken.  Else rows that repeat an address are skipped, the best one
+    stays; a null address repeats nothing.  If there are more sources than ``most``, the alphabetically first are kept.
     """
+    if df.limit(most + 1).count() <= most:
+        return df.orderBy(*order)
     one = Window.partitionBy(F.coalesce(F.col(url), F.concat(F.lit("\u001f"), F.monotonically_increasing_id()))).orderBy(*order)
     rows = df.withColumn("__u", F.row_number().over(one)).where("__u = 1")
     rows = rows.withColumn("__s", F.row_number().over(Window.partitionBy(F.col(source)).orderBy(*order)))

@@ -1,19 +1,22 @@
 """Timestamps in mixed written forms, precisions and zones, brought to one UTC form.
 
 A value is matched against a few grammars, each of which rewrites it to one list of
-fields.  All but one kind of value then have a single reading.  All-numeric dates with the
-year last can be read day first or month first: for each source an expectation-maximisation
-over the two orders estimates how often the source writes each; every value contributes its
-likelihood under each order that names an existing date, and the posterior chooses.
+fields.  All-numeric dates with the year last can be read day first or month first.  For each
+source an expectation-maximisation estimates the mixture of orders together with how its dates
+are spread over months; values with one reading count fully, the others by their posterior.  A
+value's likelihood under a reading is the share of the order times that of the month it names,
+0 for a date that does not exist, and the posterior of each value chooses.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.operators.joins import join_dimension
+from rowloom.session import cut_lineage
 
 #: Already in the target form.
 TARGET_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$"
@@ -116,26 +119,45 @@ def _instant(day: Column, month: Column, zone: Column) -> Column:
     return F.try_make_timestamp(f("y"), month.try_cast("int"), day.try_cast("int"), f("h"), f("mi"), f("s"), zone)
 
 
-def order_posteriors(counts: DataFrame, rounds: int = 60) -> DataFrame:
-    """Rows ``(source, __dmy)``: the share of day-first dates of each source.
+#: Weight of the months that a source has not been seen to write, in dates.
+UNSEEN = 1.0
 
-    ``counts`` has one row per (source, which orders are valid), so a source is a handful
-    of rows whatever its size.  The declared order enters as a prior of one observation.
+
+def order_posteriors(counts: DataFrame, rounds: int = 200) -> DataFrame:
+    """Rows ``(__source, __month_d, __month_m, __dmy)``: the posterior of the day-first reading of a date
+    of a source, by the months of its two readings (null for a reading that names no date).
+
+    ``counts`` has ``__source, declared, __month_d, __month_m, numeric, n``: one row for each pair of
+    months, so a source is as many rows as it writes pairs of months, whatever its size.  Dates that are
+    not ``numeric`` have one reading, ``__month_d``, and only tell of the months.  The declared order
+    enters as a prior of one observation.
     """
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        declared = pdf["declared"].iloc[0]
-        prior = {"DMY": 0.9, "MDY": 0.1}.get(declared, 0.5)
-        share, n = prior, pdf["n"].to_numpy(float)
-        day, month = pdf["dmy_ok"].to_numpy(float), pdf["mdy_ok"].to_numpy(float)
+        prior = {"DMY": 0.9, "MDY": 0.1}.get(pdf["declared"].iloc[0], 0.5)
+        n, numeric = pdf["n"].to_numpy(float), pdf["numeric"].to_numpy(bool)
+        months = {m: k for k, m in enumerate(sorted({*pdf["__month_d"].dropna(), *pdf["__month_m"].dropna()}))}
+        day, month = (pdf[c].map(months).fillna(len(months)).to_numpy(int) for c in ("__month_d", "__month_m"))
+        share, spread, last = prior, np.full(len(months) + 1, 1 / max(1, len(months))), -np.inf
         for _ in range(rounds):
-            like = share * day + (1 - share) * month
-            posterior = share * day / like
-            share = float(((posterior * n).sum() + prior) / (n.sum() + 1))
+            spread[-1] = 0.0
+            first = np.where(numeric, share, 1.0) * spread[day]
+            second = np.where(numeric, 1 - share, 0.0) * spread[month]
+            total = first + second
+            now = float((n * np.log(total)).sum())
+            if now - last < 1e-9:
+                break
+            last, post = now, first / total
+            share = float(((post * n)[numeric].sum() + prior) / (n[numeric].sum() + 1))
             share = min(max(share, 1e-9), 1 - 1e-9)
-        return pd.DataFrame({"__source": pdf["__source"].iloc[:1], "__dmy": [share]})
+            seen = np.bincount(day, post * n, len(months) + 1) + np.bincount(month, (1 - post) * n, len(months) + 1)
+            spread = (seen + UNSEEN) / (seen[:-1].sum() + UNSEEN * len(months))
+        out = pdf.assign(__dmy=first / total)[numeric]
+        return out[["__source", "__month_d", "__month_m", "__dmy"]]
 
-    return counts.where("dmy_ok OR mdy_ok").groupBy("__source").applyInPandas(fit, "__source string, __dmy double")
+    schema = "__source string, __month_d string, __month_m string, __dmy double"
+    some = counts.where("__month_d IS NOT NULL OR __month_m IS NOT NULL")
+    return some.groupBy("__source").applyInPandas(fit, schema)
 
 
 def normalise_timestamps(
@@ -164,15 +186,21 @@ def normalise_timestamps(
 
     f = lambda k: F.col("__f")[k]
     utc = F.lit("UTC")
-    numeric = rows.where((f("kind") == "num") & f("b").isNotNull()).select(
-        "__source", _instant(f("a"), f("b"), utc).isNotNull().alias("dmy_ok"),
-        _instant(f("b"), f("a"), utc).isNotNull().alias("mdy_ok"),
-    )
-    counts = numeric.groupBy("__source", "dmy_ok", "mdy_ok").agg(F.count("*").alias("n"))
+    # The months of both readings, as written; null for a reading that names no date.
+    month = lambda a, b: F.date_format(_instant(f(a), f(b), utc), "yyyy-MM")
+    numeric = (f("kind") == "num") & f("b").isNotNull()
+    months = F.struct(month("a", "b").alias("d"), F.when(numeric, month("b", "a")).alias("m"))
+    rows = rows.select("*", F.explode(F.array(F.when(f("kind") != "epoch", months))).alias("__m"))
+    rows = rows.select("*", F.col("__m.d").alias("__month_d"), F.col("__m.m").alias("__month_m")).drop("__m")
+    counts = rows.where(f("kind") != "epoch").groupBy("__source", "__month_d", "__month_m", F.coalesce(numeric, F.lit(False)).alias("numeric"))
+    counts = counts.agg(F.count("*").alias("n"))
     counts = join_dimension(counts, profile.select("__source", F.col("__declared").alias("declared")), ["__source"])
-    shares = order_posteriors(counts)
-    profile = profile.join(shares, "__source", "full")
+    # A posterior matters only where there are two readings.
+    shares = order_posteriors(counts).where("__month_d IS NOT NULL AND __month_m IS NOT NULL")
+    shares = shares.withColumn("__source", F.coalesce("__source", F.lit("\u001f")))
     rows = join_dimension(rows, profile, ["__source"])
+    rows = rows.withColumn("__source", F.coalesce("__source", F.lit("\u001f")))
+    rows = join_dimension(rows, cut_lineage(shares), ["__source", "__month_d", "__month_m"])
 
     zone = F.coalesce(f("zone"), F.col("__tz"), utc)
     zone = F.when(zone == "unknown", F.lit(None).cast("string")).otherwise(zone)

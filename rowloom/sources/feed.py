@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import json
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark import cloudpickle
@@ -39,14 +40,26 @@ class _Reader(DataSourceReader):
         fetch: Fetcher = cloudpickle.loads(base64.b64decode(self.options["fetcher"]))
         source, size = self.options.get("source", ""), int(self.options.get("page", "100"))
         limit = int(self.options.get("limit", str(1 << 31)))
-        offset = 0
+        unique, seconds = json.loads(self.options.get("unique", "[]")), float(self.options.get("seconds", "inf"))
+        began, seen = time.monotonic(), {k: set() for k in unique}
+        offset = kept = 0
         try:
-            while offset < limit:
-                page = fetch(source, partition.query, offset, min(size, limit - offset))
+            while kept < limit and time.monotonic() - began < seconds:
+                page = fetch(source, partition.query, offset, size if unique else min(size, limit - offset))
+                before = kept
                 for row in page:
+                    if kept >= limit or time.monotonic() - began >= seconds:
+                        break
+                    values = {k: str(row.get(k) or "").strip().lower() for k in unique}
+                    if any(v and v in seen[k] for k, v in values.items()):
+                        continue
+                    for k, v in values.items():
+                        seen[k].add(v)
+                    kept += 1
                     yield source, partition.query, json.dumps(row, ensure_ascii=False), None
                 offset += len(page)
-                if len(page) < size:
+                # A short page is the last one; a page without anything new ends the query too.
+                if len(page) < size or kept == before:
                     break
         except Exception as e:  # noqa: BLE001 one failing query must not end the others
             yield source, partition.query, None, f"{type(e).__name__}: {e}"
@@ -54,7 +67,8 @@ class _Reader(DataSourceReader):
 
 class FeedSource(DataSource):
     """``spark.read.format("feed")`` with options ``fetcher`` (a pickled function in base 64),
-    ``source``, ``queries`` (JSON list), ``page`` and ``limit``; ``read_feed`` sets them."""
+    ``source``, ``queries`` (JSON list), ``page``, ``limit``, ``unique`` (JSON list) and ``seconds``;
+    ``read_feed`` sets them."""
 
     @classmethod
     def name(cls) -> str:
@@ -67,10 +81,17 @@ class FeedSource(DataSource):
         return _Reader(dict(self.options))
 
 
-def read_feed(spark: SparkSession, fetcher: Fetcher, source: str, queries: list[str], page: int = 100, limit: int | None = None) -> DataFrame:
+def read_feed(
+    spark: SparkSession, fetcher: Fetcher, source: str, queries: list[str], page: int = 100, limit: int | None = None,
+    unique: list[str] | None = None, seconds: float | None = None,
+) -> DataFrame:
+    """A feed of ``queries``.  Rows that repeat a value of one of the fields ``unique`` within their query
+    are skipped; a query ends after ``limit`` rows, after ``seconds``, or with a page that brings
+    nothing new."""
     spark.dataSource.register(FeedSource)
     reader = spark.read.format("feed").option("fetcher", base64.b64encode(cloudpickle.dumps(fetcher)).decode()).option("source", source).option("queries", json.dumps(queries))
-    reader = reader.option("page", str(page))
+    reader = reader.option("page", str(page)).option("unique", json.dumps(unique or []))
+    reader = reader.option("seconds", str(seconds)) if seconds is not None else reader
     return (reader.option("limit", str(limit)) if limit is not None else reader).load()
 
 
@@ -83,6 +104,14 @@ def failures(feed: DataFrame) -> DataFrame:
     return feed.where(F.col("failure").isNotNull()).groupBy("source", "query").agg(F.max("failure").alias("failure"))
 
 
+def require_answers(feed: DataFrame) -> DataFrame:
+    """The feed, or a ``FeedError`` if queries failed and none answered."""
+    n, failed = feed.agg(F.count("payload"), F.max("failure")).first()
+    if failed and not n:
+        raise FeedError(f"no query was answered: {failed}")
+    return feed
+
+
 def text_of_reports(binary: DataFrame, extract: Callable[[bytes], str]) -> DataFrame:
     """``(path, text)`` of binary files; ``extract`` turns the bytes of one report into text."""
     import pandas as pd

@@ -360,23 +360,28 @@ def page_links(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
     return found.select(*keep, "l.*")
 
 
-def programme_candidates(pages: DataFrame, strategy: str = "both", kind: str | None = None) -> DataFrame:
-    """``(title, title_type, source_url, evidence_urls, position)`` of pages ``(html, url)``.
-
-    ``strategy`` is ``anchors``, ``headings`` or ``both``: sites differ in where they name programmes."""
-    parts = []
-    if strategy in ("anchors", "both"):
-        a = pages.select(F.explode(links_udf("html", "url")).alias("c"), F.col("url").alias("page"))
-        parts.append(a.select("c.label", "c.url", F.array().cast("array<string>").alias("evidence_urls"), "c.position", F.col("c.url").alias("tested")))
-    if strategy in ("headings", "both"):
-        h = pages.select(F.explode(headings_udf("html", "url")).alias("c"), F.col("url").alias("page"))
-        parts.append(h.select("c.label", "c.url", "c.evidence_urls", (F.col("c.position") + 1_000_000).alias("position"), F.col("page").alias("tested")))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    rows = rows.withColumn("title", program_title(F.col("label")))
+# Where the sites of the universities name their programmes.
+STRATEGIES = {"ull": "anchors", "ulpgc": "both", "uec": "anchors", "uam": "both", "ufpc": "headings", "uhesp": "anchors"}
+
+
+def programme_candidates(pages: DataFrame, strategy: str = "both", kind: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """``(title, title_type, source_url, evidence_urls, position)`` of pages ``(html, url)``, and the
+    columns ``keep`` of the page.
+
+    ``strategy`` is ``anchors``, ``headings``, ``both`` or the name of a column of pages with one of
+    these: sites differ in where they name programmes."""
+    keep = keep or []
+    column = F.col(strategy) if strategy in pages.columns else F.lit(strategy)
+    rows = pages.select(*keep, "html", "url", F.coalesce(column, F.lit("both")).alias("__how"))
+    a = rows.where("__how in ('anchors', 'both')").select(*keep, F.explode(links_udf("html", "url")).alias("c"))
+    a = a.select(*keep, "c.label", "c.url", F.array().cast("array<string>").alias("evidence_urls"), "c.position", F.col("c.url").alias("tested"))
+    h = rows.where("__how in ('headings', 'both')").select(*keep, F.explode(headings_udf("html", "url")).alias("c"), F.col("url").alias("page"))
+    h = h.select(*keep, "c.label", "c.url", "c.evidence_urls", (F.col("c.position") + 1_000_000).alias("position"), F.col("page").alias("tested"))
+    found = a.unionByName(h).withColumn("title", program_title(F.col("label")))
     told = F.lit(kind) if kind else title_type(F.concat_ws(" ", "title", "tested"))
-    rows = rows.withColumn("title_type", told.cast("string")).where(F.col("title_type").isNotNull())
-    rows = rows.where(is_programme_title(F.col("title"), F.col("title_type")) & is_programme_url(F.col("tested")))
-    return rows.select("title", "title_type", F.col("url").alias("source_url"), "evidence_urls", "position")
+    found = found.withColumn("title_type", told.cast("string")).where(F.col("title_type").isNotNull())
+    found = found.where(is_programme_title(F.col("title"), F.col("title_type")) & is_programme_url(F.col("tested")))
+    return found.select(*keep, "title", "title_type", F.col("url").alias("source_url"), "evidence_urls", "position")
 
 
 def document_links(pages: DataFrame, markers: list[str]) -> DataFrame:

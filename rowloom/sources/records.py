@@ -71,6 +71,61 @@ def tourism_records(offers: DataFrame, scraped_at: Column) -> DataFrame:
     })
 
 
+def portal_records(offers: DataFrame, scraped_at: Column) -> DataFrame:
+    """Offer details of a job portal's interface: ``id, title, profile, description, minPay, maxPay,
+    salaryDescription, cityPD, city, province, contractType, journey, creationDate, updatedAt, link``,
+    nested values as structs with a field ``value`` (pay with ``periodValue`` too).  Nulls stay null."""
+    value = lambda c: clean_text(F.col(c)["value"].cast("string"))
+    low, high = value("minPay"), value("maxPay")
+    pay = F.coalesce(clean_text(F.col("salaryDescription")), F.nullif(F.concat_ws(" - ", low, high), F.lit("")))
+    place = clean_text(F.concat_ws(" / ", F.nullif("city", F.lit("")), F.nullif(F.col("province")["value"], F.lit(""))))
+    return _job(offers, {
+        "source": F.lit("infojobs"), "external_id": F.col("id").cast("string"), "title": F.coalesce(clean_text(F.col("title")), F.lit("Oferta InfoJobs")),
+        "company": clean_text(F.col("profile")["name"]), "description": clean_text(F.col("description")), "salary_text": pay, "salary_min": low,
+        "salary_max": high, "salary_currency": F.when(pay.isNotNull(), "EUR"),
+        "salary_period": clean_text(F.coalesce(F.nullif(F.col("minPay")["periodValue"], F.lit("")), F.col("maxPay")["periodValue"])),
+        "publication_date": parse_date(F.col("creationDate")), "update_date": parse_date(F.col("updatedAt")), "province": value("province"),
+        "municipality": F.coalesce(value("cityPD"), clean_text(F.col("city"))), "raw_location": place, "contract_type": value("contractType"),
+        "workday": value("journey"), "scraped_at": scraped_at,
+        "source_url": F.coalesce(F.nullif("link", F.lit("")), F.concat(F.lit("https://www.infojobs.net/oferta/"), F.col("id").cast("string"))),
+    })
+
+
+def listed_records(listing: DataFrame, details: DataFrame, source: str, scraped_at: Column, url_form: str = "%s") -> DataFrame:
+    """Postings of a listing ``jobkey, title, companyName, formattedLocation, salary, date`` joined with what
+    their pages say: ``details`` has ``jobkey`` and the fields of ``html.POSTING``, one row a key.
+
+    Of repeated keys of the listing the first by title counts; a posting without a page keeps what the
+    listing says.  A place "town, province" is split, without a comma it is the town."""
+    one = listing.where(F.col("jobkey").isNotNull()).groupBy("jobkey").agg(F.min(F.struct("title", *[c for c in listing.columns if c not in ("jobkey", "title")])).alias("l"))
+    rows = one.select("jobkey", "l.*").join(details.withColumnRenamed("salary_text", "page_salary"), "jobkey", "left")
+    place = F.coalesce(clean_text(F.col("formattedLocation")), F.lit(""))
+    parts = F.split(place, ",", 2)
+    pay = F.coalesce(F.nullif("page_salary", F.lit("")), clean_text(F.col("salary")))
+    return _job(rows, {
+        "source": F.lit(source), "external_id": F.col("jobkey"), "title": F.coalesce(clean_text(F.col("title")), F.lit("Oferta Indeed")),
+        "company": clean_text(F.col("companyName")), "description": clean_text(F.col("description")), "salary_text": pay,
+        "salary_currency": F.when(pay.isNotNull(), "EUR"), "publication_date": parse_date(F.col("date")),
+        "province": F.coalesce(clean_text(F.get(parts, F.lit(1))), F.lit("Las Palmas")), "municipality": clean_text(F.get(parts, F.lit(0))),
+        "raw_location": place, "contract_type": F.col("contract_type"), "workday": F.col("workday"), "schedule": F.col("schedule"),
+        "source_url": F.format_string(url_form, F.col("jobkey")), "scraped_at": scraped_at,
+    })
+
+
+# Words of a description and the contract that they tell, tried in this order.
+DESCRIBED_CONTRACTS = [
+    ("indefinido", "Contrato Indefinido"), ("temporal|duración determinada", "Contrato Temporal"), ("prácticas", "Prácticas"), ("becario", "Beca"),
+]
+
+
+def contract_told(kind: Column, description: Column) -> Column:
+    """The contract type, or what the description tells of it; null if neither says one."""
+    low, out = F.lower(description), F.lit(None).cast("string")
+    for words, name in reversed(DESCRIBED_CONTRACTS):
+        out = F.when(low.rlike(words), name).otherwise(out)
+    return F.when(F.length(kind) > 0, clean_text(kind)).otherwise(out)
+
+
 # Names of pay intervals and the periods they mean.
 INTERVALS = {"yearly": "year", "monthly": "month", "weekly": "week", "daily": "day", "hourly": "hour"}
 
@@ -95,7 +150,7 @@ def board_records(rows: DataFrame, source: str, scraped_at: Column) -> DataFrame
         "description": plain_description(F.col("description")), "salary_text": F.concat_ws(" ", pay, F.when(pay.isNotNull(), period)),
         "salary_min": low, "salary_max": high, "salary_currency": F.when(pay.isNotNull(), "EUR"), "salary_period": F.when(pay.isNotNull(), period),
         "publication_date": parse_date(F.col("date_posted")), "province": province, "municipality": F.nullif(F.trim(F.get(parts, F.lit(0))), F.lit("")),
-        "island": F.nullif(island, F.lit("")), "raw_location": location, "contract_type": clean_text(F.col("job_type")),
+        "island": F.nullif(island, F.lit("")), "raw_location": location, "contract_type": contract_told(F.col("job_type"), F.col("description")),
         "source_url": F.coalesce(clean_text(F.col("job_url")), F.lit("")), "scraped_at": scraped_at,
     })
 

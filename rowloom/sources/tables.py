@@ -59,7 +59,9 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, one_fi
     out = df.select(*columns) if columns else df
     if out.isEmpty():
         return False
-    (out.coalesce(1) if one_file else out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (out.coalesce(1) if one_file else out).write.mode("overwrite").option("header", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
     return True
 
 
@@ -76,8 +78,33 @@ def jobs_export(state: DataFrame) -> DataFrame:
     return state.orderBy(F.coalesce("publication_date", F.lit("")).desc(), F.col("source").asc(), F.col("job_key"))
 
 
+# The columns of exported pairs.
+PAIR_COLUMNS = [
+    "pair_key", "job_key", "degree_key", "job_title", "degree_title", "score", "provider", "model", "job_text_hash",
+    "degree_text_hash", "created_at", "updated_at",
+]
+
+
 def similarity_export(pairs: DataFrame) -> DataFrame:
-    return pairs.orderBy(F.desc_nulls_last("score"), "pair_key")
+    """The pairs' own columns, highest score first."""
+    return pairs.select(*[c for c in PAIR_COLUMNS if c in pairs.columns]).orderBy(F.desc_nulls_last("score"), "pair_key")
+
+
+def degrees_export(degrees: DataFrame) -> DataFrame:
+    return degrees.orderBy("source", "title")
+
+
+def markdown_memo(title: str, lines: dict[str, object], tables: dict[str, DataFrame], rows: int = 200) -> str:
+    """A short report: facts as a list, then small tables; more than ``rows`` rows in one are an error."""
+    out = [f"# {title}", ""] + [f"- {k}: {v}" for k, v in lines.items()]
+    for name, df in tables.items():
+        found = df.limit(rows + 1).collect()
+        if len(found) > rows:
+            raise ValueError("too many rows for a report table")
+        cell = lambda v: "" if v is None else f"{v:.5f}" if isinstance(v, float) else str(v).replace("|", r"\|")
+        out += ["", f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
+        out += ["| " + " | ".join(map(cell, r)) + " |" for r in found]
+    return "\n".join(out) + "\n"
 
 
 def percent(col: Column) -> Column:
