@@ -145,46 +145,62 @@ def find_residue(df: DataFrame, id_col: str, fields: list[str], title: str, url:
     weak = short.where(~F.arrays_overlap("words", context) & (F.size(weak_words) >= 2) & (F.size("words") < 12 * F.size(weak_words)))
     found = rows.where(F.col("reason").isNotNull()).select("__id", "field", "reason")
     found = found.unionByName(weak.select("__id", "field", F.lit("weak").alias("reason")))
-    served = host_evidence(base.where(body))
-    if only is not None:
-        served = served.join(only.select(F.col(id_col).alias("__id")).distinct(), "__id", "left_semi")
-    found = found.unionByName(served)
+    found = cut_lineage(found)
+    asked = base.where(body) if only is None else base.where(body).join(only.select(F.col(id_col).alias("__id")).distinct(), "__id", "left_semi")
+    found = found.unionByName(host_evidence(base.where(body), asked, found))
     rank = F.when(F.col("reason") == "host", 1).otherwise(0)
     return found.groupBy("__id", "field").agg(F.min(F.struct(rank.alias("rank"), "reason")).alias("r")).select(
         F.col("__id").alias(id_col), "field", "r.reason"
     )
 
 
-def host_evidence(bodies: DataFrame) -> DataFrame:
-    """``(__id, field, reason)`` of bodies that a host serves under several titles and that use other
-    words than its other texts.  Bodies of any length take part."""
+def host_evidence(bodies: DataFrame, asked: DataFrame, found: DataFrame) -> DataFrame:
+    """``(__id, field, reason)`` of the ``asked`` bodies that their host serves under several titles and that
+    use other words than its other texts.  Bodies of any length take part; what is ``found`` already
+    needs no more evidence."""
+    key = ["host", "field", "print"]
     # Digits and the letters of hexadecimal identifiers are left out, so one message is one fingerprint.
     mark = F.xxhash64(F.translate(F.lower(F.col("value")), "0123456789abcdef", ""))
-    marked = bodies.select("__id", "host", "field", mark.alias("print"), F.coalesce("title", F.lit("")).alias("title"))
-    titles = marked.select("host", "field", "print", "title").distinct().groupBy("host", "field", "print").agg(F.count("*").alias("titles"))
-    served = cut_lineage(titles.where(F.col("titles") >= TITLES).select("host", "field", "print"))
-    nothing = bodies.select("__id", "field", F.lit("host").alias("reason"))
-    if served.isEmpty():
-        return nothing.limit(0)
-
-    key = ["host", "field", "print"]
     plain = terms(strip_accents(F.lower(F.col("value"))))
     context = terms(strip_accents(F.lower(F.concat_ws(" ", "title", "slug"))))
-    rows = bodies.withColumn("print", mark).join(served, key, "left_semi").select("__id", *key, plain.alias("words"), context.alias("context"))
-    rows = cut_lineage(rows.where(~F.arrays_overlap("words", "context")).select("__id", *key, "words"))
+    marked = bodies.select("host", "field", mark.alias("print"), F.lower(F.coalesce("title", F.lit(""))).alias("title"))
+    titles = marked.distinct().groupBy(*key).agg(F.count("*").alias("titles"))
+    served = cut_lineage(titles.where(F.col("titles") >= TITLES).select(*key))
+    nothing = found.select("__id", "field", F.lit("host").alias("reason")).limit(0)
+    rows = asked.withColumn("print", mark).join(served, key, "left_semi").join(found, ["__id", "field"], "left_anti")
+    rows = cut_lineage(rows.select("__id", *key, "title", "slug", "value"))
     if rows.isEmpty():
-        return nothing.limit(0)
-
-    asked = rows.groupBy(*key).agg(F.first("words").alias("words")).select(*key, F.size("words").alias("size"), F.explode("words").alias("word"))
-    asked = cut_lineage(asked)
-    # A term is looked up only if a served body asks for it; the other texts of a host are its real ones.
-    wanted = asked.select("word").distinct()
-    rich = bodies.withColumn("print", mark).join(served, key, "left_anti")
+        return nothing
+
+    # The words of one copy stand for all; every row is compared with its own title and slug.
+    words = rows.groupBy(*key).agg(F.first("value").alias("value")).select(*key, F.explode(F.array(plain)).alias("words"))
+    words = cut_lineage(words.where(F.size("words") > 0))
+    strange = rows.select("__id", *key, context.alias("context")).join(words, key).where(~F.arrays_overlap("words", "context"))
+    strange = cut_lineage(strange.select("__id", *key))
+
+    # A term that several served texts of a host have is a term of the host.
+    single = words.select(*key, F.size("words").alias("size"), F.explode("words").alias("word"))
+    shared = single.groupBy("host", "field", "word").agg(F.count("*").alias("n")).where("n > 1").select("host", "field", "word", F.lit(1).alias("known"))
+    open_ = _unknown(single.join(strange.select(*key).distinct(), key, "left_semi"), shared)
+    open_ = cut_lineage(open_)
+    if open_.isEmpty():
+        return nothing
+
+    # What is left is looked up in all other texts of its hosts.
+    left = cut_lineage(single.join(open_, key, "left_semi"))
+    hosts = open_.select("host", "field").distinct()
+    rich = bodies.join(hosts, ["host", "field"], "left_semi").withColumn("print", mark).join(open_, key, "left_anti")
     totals = rich.groupBy("host", "field").agg(F.count("*").alias("n"))
+    wanted = left.select("host", "field", "word").distinct()
     vocabulary = rich.select("host", "field", F.explode(plain).alias("word"))
-    vocabulary = vocabulary.join(F.broadcast(wanted) if is_small(wanted) else wanted, "word", "left_semi")
+    vocabulary = vocabulary.join(F.broadcast(wanted) if is_small(wanted) else wanted, ["host", "field", "word"], "left_semi")
     vocabulary = vocabulary.groupBy("host", "field", "word").agg(F.count("*").alias("df")).join(totals, ["host", "field"])
     vocabulary = vocabulary.where(F.col("df") >= KNOWN * F.col("n")).select("host", "field", "word", F.lit(1).alias("known"))
-    known = asked.join(vocabulary, ["host", "field", "word"], "left").groupBy(*key).agg((F.sum("known") / F.max("size")).alias("share"))
-    strange = known.where(F.coalesce("share", F.lit(0)) < STRANGE).select(*key)
-    return rows.join(strange, key, "left_semi").select("__id", "field", F.lit("host").alias("reason"))
+    return strange.join(_unknown(left, vocabulary), key, "left_semi").select("__id", "field", F.lit("host").alias("reason"))
+
+
+def _unknown(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The texts of ``(host, field, print, size, word)`` of whose words too few are in the vocabulary."""
+    known = words.join(vocabulary, ["host", "field", "word"], "left").groupBy("host", "field", "print")
+    share = known.agg((F.coalesce(F.sum("known"), F.lit(0)) / F.max("size")).alias("share"))
+    return share.where(F.col("share") < STRANGE).select("host", "field", "print")
