@@ -169,6 +169,7 @@ def best_programme(candidates: DataFrame, position: str) -> DataFrame:
 
     A page outranks a PDF, plans of studies outrank other pages, evidence adds one each."""
     url = F.lower("source_url")
+    # Marks of addresses of plans of studies, and the weights.
     rank = (
         F.size("evidence_urls") + F.when(url.endswith(".pdf"), 0).otherwise(5)
         + F.when(url.contains("www2.ulpgc.es") | url.contains("plan-estudio"), 3).otherwise(0)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.keys import degree_key, job_key, pair_key, storage_key
@@ -51,6 +51,12 @@ def select_scaled(records: DataFrame, most: int = MOST_ROWS, shares: dict[str, f
     return select.take_quotas(rows.withColumn("__f", family), "__f", quota, order).drop("__f")
 
 
+def limit_sources(records: DataFrame, most: int = PER_SOURCE) -> DataFrame:
+    """At most ``most`` records of each source, the first by address and id."""
+    ranked = records.withColumn("__rn", F.row_number().over(Window.partitionBy("source").orderBy("source_url", "external_id", "title")))
+    return ranked.where(F.col("__rn") <= most).drop("__rn")
+
+
 def annotate(records: DataFrame, catalogue: DataFrame, ordinal: str) -> DataFrame:
     """Postings with their degree candidates in the three target columns."""
     rows = records.drop("target_degree_titles", "target_degree_branches", "degree_match_status").withColumn("__id", F.col("job_key"))
@@ -145,6 +151,34 @@ def embed_flow(corpus: DataFrame, cache: StateTable, provider: str, model: str,
     return vectors.manifest(corpus, chunked, n_hits, n_misses)
 
 
+@dataclass
+class Stores:
+    """The states of a complete run."""
+
+    jobs: StateTable
+    catalogue: StateTable
+    cache: StateTable
+    pairs: StateTable
+
+
+def full_flow(
+    records: DataFrame, document: DataFrame, registry: DataFrame, stores: Stores, provider: str, model: str, as_of: str,
+    most: int = 10_000, per_source: int | None = None, least: int = 40, names: dict[str, str] | None = None,
+) -> tuple[dict[str, Outcome], dict[str, DataFrame]]:
+    """Catalogue, postings, alignment and the sector report, one after the other; a flow that fails
+    ends the run, and the outcomes say where."""
+    _, catalogue = catalogue_flow(document, registry, as_of, stores.catalogue, names=names)
+    done = {"catalogue": catalogue}
+    if not catalogue.ok:
+        return done, {}
+    degrees = stores.catalogue.read()
+    wanted = limit_sources(records, per_source) if per_source else records
+    done["jobs"] = jobs_flow(wanted, degrees, stores.jobs, as_of, most)
+    done["align"] = align_flow(stores.jobs.read(), degrees, stores.cache, stores.pairs, provider, model, as_of, least)
+    keyed_rows = degrees.withColumn("degree_key", degree_key(F.monotonically_increasing_id())).dropDuplicates(["degree_key"])
+    return done, sector_report(stores.pairs.read(), keyed_rows, registry)
+
+
 def sector_report(pairs: DataFrame, degrees: DataFrame, registry: DataFrame) -> dict[str, DataFrame]:
     """Summaries of scored pairs by the sector of the university."""
     keyed_degrees = catalog.attach_registry(degrees, registry)

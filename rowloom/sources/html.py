@@ -181,6 +181,7 @@ def _listing(html: str, base: str) -> list[dict]:
 
 
 def _detail(html: str, base: str) -> dict:
+    # The labels of the page.
     root = parse(html)
     heads = [t for h in root.all("h2") if (t := h.text())]
     reports = []
@@ -209,6 +210,7 @@ def _posting(html: str) -> dict:
     def first(test, least: int) -> str | None:
         return next((t for n in root.walk() if n.tag in ("div", "section", "span") and test(n) and len(t := n.text()) > least), None)
 
+    # Ids, classes and labels of the page, and the least lengths of its texts.
     cls = lambda pattern: lambda n: bool(re.search(pattern, n.attrs.get("class", ""), re.I))
     out = {
         "description": first(lambda n: n.attrs.get("id") == "jobDescriptionText", 50) or first(cls("description"), 50),

@@ -187,6 +187,27 @@ def test_flows(spark, tmp_path):
     assert flows.select_scaled(raw.withColumn("source", F.lit("SCE")), 100).count() == 2
 
 
+def test_full_flow(spark, tmp_path):
+    (tmp_path / "doc.json").write_text(json.dumps({"ruct": [
+        {"id": "1", "titulo": "Grado en Enfermeria", "universidad": "La Laguna", "tipo": "grado", "rama": "Ciencias de la Salud", "url": "http://u/1", "descripcion": "cuidados " * 10},
+        {"id": "2", "titulo": "Grado en Turismo", "universidad": "Privada", "tipo": "grado", "rama": "Ciencias Sociales y Juridicas", "url": "http://u/2", "descripcion": "hoteles " * 10},
+    ]}))
+    registry = spark.createDataFrame([("ull", "Universidad de La Laguna", "publica", "La Laguna"), ("pri", "Privada", "privada", "")], "university_id string, canonical_name string, university_type string, aliases string")
+    from rowloom.operators.catalog import DEGREE_COLUMNS
+
+    more = ", job_title string, degree_title string, job_text_hash string, degree_text_hash string"
+    schemas = {"jobs": records.STATE_SCHEMA, "catalogue": ", ".join(f"{c} string" for c in DEGREE_COLUMNS), "cache": CACHE, "pairs": PAIR + more}
+    stores = flows.Stores(**{n: StateTable(spark, str(tmp_path / n), s, buckets=2) for n, s in schemas.items()})
+    raw = posting(spark, {"title": "Enfermera de planta", "source_url": "http://a/1", "external_id": "1", "description": "cuidados de salud " * 5}, {"title": "Otra cosa", "source_url": "http://a/2", "external_id": "2"})
+    document = tables.read_document(spark, str(tmp_path / "doc.json"))
+    done, report = flows.full_flow(raw, document, registry, stores, "hashing", "m", "t1", names={"ruct": "ruct"})
+    assert done["catalogue"].counts == {"rows": 2} and done["jobs"].counts["inserted"] == 2 and done["align"].counts["inserted"] == 1
+    assert [(r.university_type, r.n) for r in report["summary"].collect()] == [("publica", 1)]
+    assert flows.limit_sources(raw, 1).count() == 1
+    none, report = flows.full_flow(raw, spark.createDataFrame([(1,)], "other int"), registry, stores, "hashing", "m", "t2", names={"ruct": "ruct"})
+    assert not none["catalogue"].ok and report == {}
+
+
 def test_embed_and_catalogue_flow(spark, tmp_path):
     corpus = spark.createDataFrame([("a b c",), ("d e",)], "text string")
     cache = StateTable(spark, str(tmp_path / "cache"), CACHE)
