@@ -8,6 +8,8 @@ title or the address slug, and whose terms are not those of the host's other tex
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ _LOREM = (
     "|magna|aliqua|enim|ad|minim|veniam|quis|nostrud|ullamco|laboris|nisi|aliquip|ex|ea|commodo"
 )
 FILLER = [
-    r"lorem ipsum", rf"(?:(?:{_LOREM})\b[ ,.]*){{5}}", rf"(?:{_MASH})\b(?:[ ,.]+(?:{_MASH})\b)+", r"asdf\b", r"qwerty\b",
+    r"lorem ipsum", rf"(?:{_LOREM})\b[ ,.]*(?:(?:{_LOREM})\b[ ,.]*){{4}}", rf"(?:{_MASH})\b(?:[ ,.]+(?:{_MASH})\b)+", r"asdf\b", r"qwerty\b",
     r"(?:texto|contenido|descripci[oó]n|t[ií]tulo) (?:de (?:prueba|ejemplo|relleno)|provisional|pendiente)",
     r"borrador sin ", r"your text here", r"(?:sample|dummy|placeholder) (?:description|text|title|content)",
     r"insert [a-z ]{1,40}here", r"aqu[ií] va (?:la|el|una?) ",
@@ -84,16 +86,37 @@ TITLES, KNOWN, STRANGE = 2, 0.02, 0.5
 
 
 def any_of(patterns: list[str]) -> str:
-    """One pattern for many, grouped by first letter, so a word is compared with few of them."""
+    """One pattern for many: a tree by their letters, so that a word is compared once with what many begin with.
+
+    No pattern has alternatives outside of groups.  What all begin with is looked at first."""
+    starts = {x[:1] for p in patterns for x in _heads(p)}
+    known = all(re.fullmatch(r"[^\W_]", c) for c in starts)
+    return r"\b" + (f"(?=[{''.join(sorted(starts))}])" if known else "") + _tree(patterns)
+
+
+def _heads(pattern: str) -> list[str]:
+    """The pattern once for each alternative of the group, or letter of the class, that it begins with."""
+    if group := re.match(r"\(\?:((?:[^()\[\]\\]|\\.|\[[^\]|]*\])*)\)(?![?*+{])", pattern):
+        return [x for part in group[1].split("|") for x in _heads(part + pattern[group.end() :])]
+    if letters := re.match(r"\[([^\W_]+)\](?![?*+{])", pattern):
+        return [c + pattern[letters.end() :] for c in letters[1]]
+    return [pattern]
+
+
+def _tree(patterns: list[str]) -> str:
+    """The patterns grouped by first letter or blank, again and again."""
+    patterns = [x for p in patterns for x in _heads(p)]
+    if "" in patterns:
+        return ""
     letters: dict[str, list[str]] = {}
     others: list[str] = []
     for p in patterns:
-        if p[0].isalpha():
+        if re.match(r"(?: |[^\W_])(?![?*+{])", p):
             letters.setdefault(p[0], []).append(p[1:])
         else:
             others.append(p)
-    groups = [f"{c}(?:{'|'.join(rest)})" for c, rest in letters.items()]
-    return r"\b(?:" + "|".join(groups + others) + ")"
+    parts = [c + _tree(rest) for c, rest in letters.items()] + list(dict.fromkeys(others))
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
 def detectors(value: Column, low: Column) -> Column:
@@ -101,10 +124,11 @@ def detectors(value: Column, low: Column) -> Column:
     named = (
         F.when(low.rlike(any_of(NOTICES)), "notice").when(low.rlike(any_of(ERRORS)), "error").otherwise("filler")
     )
+    todo = (value.contains("TODO") | value.contains("undefined")) & value.rlike(TODO)
     return (
         F.when(value.rlike(SIGNS + "(?:" + "|".join(PLACEHOLDERS) + ")"), "placeholder")
         .when(low.rlike(any_of([*NOTICES, *ERRORS, *FILLER])), named)
-        .when(value.rlike(TODO), "placeholder")
+        .when(todo, "placeholder")
     )
 
 

@@ -2,13 +2,14 @@
 
 import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from rowloom.llm.cut import artificial_cuts, cut_rows, fit_cut_model, last_segment, length_limits, score_cuts, source_shares, split_mark
 from rowloom.llm.fuse import Bundle, Dependency, fuse_groups, search
-from rowloom.llm.residue import find_residue
+from rowloom.llm.residue import ERRORS, FILLER, NOTICES, any_of, find_residue
 
 REAL = "Se encargará de revisar los partes diarios. Valoramos depuración de errores 404 y 500, programación en JavaScript y plantillas de correo con campos variables."
 SCHEMA = "id bigint, title string, description string, url string, host string, reason string"
@@ -32,6 +33,20 @@ def test_detectors(spark):
     assert set(bad) <= set(got) and not set(good) & set(got)
 
 
+def test_a_word_is_compared_once_with_what_many_patterns_begin_with():
+    """Nothing is tried twice at a word, and the tree finds what the single patterns find."""
+    assert any_of(["abc d", "abx?", "(?:abc|d) f", "[45]00"]) == r"\b(?=[45ad])(?:ab(?:c (?:d|f)|x?)|d f|400|500)"
+    assert any_of(["ab", "abc", r"a\b", "a+"]) == r"\b(?=[a])(?:a(?:b|\b)|a+)"
+    patterns = [*NOTICES, *ERRORS, *FILLER]
+    each, tree = [re.compile(r"\b(?:" + p + ")") for p in patterns], re.compile(any_of(patterns))
+    texts = [
+        "activa javascript", "active el javascript", "mi sesión caducada", "mi sesion ha caducad", "http/1.1 503 x", "410 la oferta", "50). ", "(404). ", "500). ", "h1>404</h1", "xh1>404</h1",
+        "título aquí", "titulo del puesto aqui", "java.io.ioexception", "org.x.error", "test foo, bar", "test", "testfoo bar", "ut, et ea ex do.", "ut et ea ex", "ut et ea exdo", "dolor dolore do ut sed",
+        "aceptar todo·rechazar", "aceptar todo - rechazar", "desactiva javascript", "servicio no disponible", "descripcion de ejemplo", "un momento por favor", "no eres robot", "insert your name here",
+    ]
+    assert [bool(tree.search(t)) for t in texts] == [any(p.search(t) for p in each) for t in texts]
+
+
 def test_titles_and_empty(spark):
     assert found(spark, REAL, title="Oferta de [[titulo]]") == {"title": "placeholder"}
     df = spark.createDataFrame([], SCHEMA)
